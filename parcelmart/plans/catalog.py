@@ -30,3 +30,73 @@ def bucket_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucket_histogram_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1 over account balances, which go negative: floor rounds toward -inf."""
     return bucketize(load(spark, sf_dir, "customer"), "c_acctbal", width=5)
+
+
+# --- the booking mart over stand-in sources -------------------------------------------
+
+from parcelmart.plans import mart as _mart  # noqa: E402
+from parcelmart.plans.runner import build as _build  # noqa: E402
+from parcelmart.sources.standins import STANDIN_FAMILY, standin_tables  # noqa: E402
+
+PARAMS = _mart.MartParams(type_family=STANDIN_FAMILY)
+
+
+def _mart_outputs(spark: SparkSession, sf_dir: str, until: str):
+    t = standin_tables(spark, sf_dir)
+    return t, _build(t, PARAMS, until=until)
+
+
+@query
+def metrics_cube(spark, sf_dir):
+    """The 64-metric daily cube."""
+    return _mart_outputs(spark, sf_dir, "daily_metrics")[1]["daily_metrics"]
+
+
+@query
+def invoice_pivot(spark, sf_dir):
+    """Invoice-level summary of last/first attempts and durations."""
+    return _mart_outputs(spark, sf_dir, "invoice_summary")[1]["invoice_summary"]
+
+
+@query
+def fare_resolution(spark, sf_dir):
+    """B2: passenger fare per partner booking."""
+    return _mart_outputs(spark, sf_dir, "pax_fares")[1]["pax_fares"]
+
+
+@query
+def union_distinct_map(spark, sf_dir):
+    """Booking -> invoice mapping."""
+    return _mart_outputs(spark, sf_dir, "booking_invoice")[1]["booking_invoice"]
+
+
+@query
+def max_code_union(spark, sf_dir):
+    """Largest service-type code per booking."""
+    return _mart_outputs(spark, sf_dir, "service_type_map")[1]["service_type_map"]
+
+
+@query
+def split_merchant_id(spark, sf_dir):
+    """Partner id per booking."""
+    return _mart_outputs(spark, sf_dir, "merchant_mapping")[1]["merchant_mapping"]
+
+
+@query
+def distinct_counts(spark, sf_dir):
+    """Attempts per invoice."""
+    return _mart_outputs(spark, sf_dir, "attempts_per_invoice")[1]["attempts_per_invoice"]
+
+
+@query
+def last_attempt(spark, sf_dir):
+    """Latest attempt per invoice."""
+    t, d = _mart_outputs(spark, sf_dir, "merchant_mapping")
+    return _mart.last_attempts(t, PARAMS, d)
+
+
+@query
+def first_attempt(spark, sf_dir):
+    """Earliest attempt per invoice."""
+    t, d = _mart_outputs(spark, sf_dir, "merchant_mapping")
+    return _mart.first_attempts(t, PARAMS, d)
