@@ -100,3 +100,334 @@ def first_attempt(spark, sf_dir):
     """Earliest attempt per invoice."""
     t, d = _mart_outputs(spark, sf_dir, "merchant_mapping")
     return _mart.first_attempts(t, PARAMS, d)
+
+
+# --- single operators over the stand-in sources --------------------------------------
+
+from parcelmart.functions import scalar as _x  # noqa: E402
+from parcelmart.operators.relational import anti as _anti, mark_hits as _mark_hits  # noqa: E402
+from parcelmart.plans.metrics import CANCELLED_STATES, RIDE_STATES  # noqa: E402
+from parcelmart.plans.runner import run as _run  # noqa: E402
+
+_METRICS_FROM = PARAMS.metrics_from
+
+
+def _src(spark, sf_dir):
+    return standin_tables(spark, sf_dir)
+
+
+@query
+def partner_filter(spark, sf_dir):
+    """Partner, unique, allowed country, ride or cancelled state."""
+    bk = _src(spark, sf_dir)["bookings"]
+    return bk.where(
+        _x.has_prefix("code", "PARTNER")
+        & _x.not_blank("code")
+        & (F.col("is_unique_booking") == "t")
+        & ~F.col("country_id").isin(*PARAMS.excluded_countries)
+        & (F.col("state").isin(*RIDE_STATES) | F.col("state").isin(*CANCELLED_STATES))
+    ).select("id", F.col("code").alias("booking_code"), "state", "country_id")
+
+
+@query
+def string_date_filter(spark, sf_dir):
+    """Text partition keys vs. parsed dates."""
+    rec = _src(spark, sf_dir)["receipts"]
+    since = _x.day_before(_METRICS_FROM)
+    return rec.where(_x.parts_text("year", "month", "day") >= since).select(
+        "booking_code",
+        _x.parts_text("year", "month", "day").alias("part_key"),
+        _x.date_from_parts("year", "month", "day").alias("part_date"),
+        (_x.date_from_parts("year", "month", "day") >= F.lit(since).cast("date")).alias("date_passes"),
+        F.date_format(_x.date_from_parts("year", "month", "day"), "yyyy-MM-dd").alias("part_text"),
+    )
+
+
+@query
+def timestamp_filter(spark, sf_dir):
+    """Parsed text timestamp compared with a parsed constant."""
+    ub = _src(spark, sf_dir)["unique_bookings"]
+    first = _x.parse_ts("first_at")
+    return ub.where(first >= F.to_timestamp(F.lit(_METRICS_FROM), "yyyy-MM-dd")).select(
+        "last_id", first.alias("first_at_ts"), "first_allocated"
+    )
+
+
+@query
+def json_value(spark, sf_dir):
+    """Scalar JSON values as text, double and int."""
+    ev = load(spark, sf_dir, "events")
+    k = _x.json_double("props", "$.k")
+    return ev.where(k.isNotNull()).select(
+        "event_id",
+        _x.json_text("props", "$.k").alias("k_text"),
+        k.alias("k_double"),
+        _x.json_int("props", "$.k").alias("k_int"),
+        _x.json_text("props", "$.missing").alias("missing"),
+    )
+
+
+@query
+def json_nested(spark, sf_dir):
+    """Integer at a three-level JSON path; fractions and absent keys give NULL."""
+    bs = _src(spark, sf_dir)["booking_service"]
+    return bs.select("booking_code", _x.json_int("metadata", "$.expressMeta.jobCard.jobType").alias("job_type"))
+
+
+@query
+def month_rate_join(spark, sf_dir):
+    """Rate of the booking's country and month; fare in USD."""
+    t = _src(spark, sf_dir)
+    bk = t["bookings"].select("id", "country_id", "date_local", "fare")
+    out = _mart.with_month_rate(bk, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
+    return out.select("id", "country_id", "date_local", "exchange_one_usd",
+                      _x.per_rate(F.col("fare"), F.col("exchange_one_usd")).alias("fare_usd"))
+
+
+@query
+def validity_join(spark, sf_dir):
+    """Type dimension joined twice, the second copy range-tested."""
+    t = _src(spark, sf_dir)
+    types = _mart.express_taxi_types(t, PARAMS)
+    bk = t["bookings"].select("id", "taxi_type_id", "created_at_local")
+    ge = types.select(F.col("taxi_type_id").alias("_ge_id"))
+    tt = types.select(F.col("taxi_type_id").alias("_tt_id"), "name", "start_at", "end_at")
+    return (
+        bk.join(ge, bk["taxi_type_id"] == ge["_ge_id"])
+        .join(tt, bk["taxi_type_id"] == tt["_tt_id"], "left")
+        .where(_x.in_validity("created_at_local", "start_at", "end_at"))
+        .select("id", "taxi_type_id", "name", "start_at", "end_at")
+    )
+
+
+@query
+def anti_join(spark, sf_dir):
+    """Bookings that are not test bookings."""
+    t = _src(spark, sf_dir)
+    return _anti(t["bookings"].select("id", "code"), t["test_bookings"].select(F.col("code").alias("_tb")),
+                 F.col("code") == F.col("_tb"))
+
+
+@query
+def vacuous_anti_join(spark, sf_dir):
+    """The source's test filter that can never match (its ON requires a NULL key).
+
+    Written literally; Catalyst sees the join cannot produce matches and removes it.
+    """
+    t = _src(spark, sf_dir)
+    bk = t["bookings"].select("id", "code")
+    tb = t["test_bookings"].select(F.col("code").alias("_tb"))
+    return bk.join(tb, (F.col("_tb") == F.col("code")) & F.col("_tb").isNull(), "left").where(
+        F.col("_tb").isNull()
+    ).select("id", "code")
+
+
+@query
+def left_join_filtered(spark, sf_dir):
+    """Left join to a filtered subquery with a hit marker."""
+    t = _src(spark, sf_dir)
+    promo = _mark_hits(
+        t["promo_bookings"].where(F.col("date_local") >= F.to_timestamp(F.lit(_METRICS_FROM), "yyyy-MM-dd"))
+        .select(F.col("code").alias("_p_code"), "promo_expense_local"),
+        "promo",
+    )
+    bk = t["bookings"].select("id", "code")
+    return bk.join(promo, bk["code"] == promo["_p_code"], "left").select("id", "code", "promo", "promo_expense_local")
+
+
+@query
+def left_join_preagg(spark, sf_dir):
+    """Left join to a per-booking SUM computed before the join."""
+    t = _src(spark, sf_dir)
+    inc = (
+        t["incentive_payouts"].where(F.col("date_partition") >= _x.day_before(_METRICS_FROM))
+        .groupBy(F.col("booking_code").alias("_i_code")).agg(F.sum("payout_per_ride").alias("incentive_payout"))
+    )
+    bk = t["bookings"].select("id", "code")
+    return bk.join(inc, bk["code"] == inc["_i_code"], "left").select("id", "code", "incentive_payout")
+
+
+@query
+def composite_join_centroid(spark, sf_dir):
+    """Area by (geohash, city, country) with polygon centroid."""
+    t = _src(spark, sf_dir)
+    area = _mart.area_lookup(t).select(
+        F.col("geohash").alias("_g"), F.col("city_id").alias("_ci"), F.col("country_id").alias("_co"),
+        "area", "latitude", "longitude",
+    )
+    bk = t["bookings"].select("id", "pickup_geohash", "city_id", "country_id")
+    return bk.join(
+        area, (area["_g"] == bk["pickup_geohash"]) & (area["_ci"] == bk["city_id"]) & (area["_co"] == bk["country_id"]),
+        "left",
+    ).select(
+        "id",
+        _x.strip_digits(F.coalesce(F.col("area"), F.lit("Other Areas"))).alias("pickup_area"),
+        "latitude",
+        "longitude",
+    )
+
+
+@query
+def inner_residual_join(spark, sf_dir):
+    """Inner equi-join with single-side residual predicates in the ON clause."""
+    t = _src(spark, sf_dir)
+    types = _mart.express_taxi_types(t, PARAMS)
+    job = _x.json_int("metadata", "$.expressMeta.jobCard.jobType")
+    bs = t["booking_service"]
+    return bs.join(
+        types.select("taxi_type_id"),
+        (bs["vehicle_type_id"] == types["taxi_type_id"])
+        & (_x.date_from_parts(bs["year"], bs["month"], bs["day"]) > F.lit(PARAMS.service_after).cast("date"))
+        & job.isNotNull(),
+    ).select("booking_code", "vehicle_type_id", job.alias("service_type"))
+
+
+@query
+def fanout_join(spark, sf_dir):
+    """Left join whose columns are unused still repeats rows (kept for parity)."""
+    t = _src(spark, sf_dir)
+    bi = _mart.booking_invoice(t, PARAMS).select(F.col("booking_code").alias("_b"), "invoice_number")
+    bk = t["bookings"].select("id", "code")
+    return bk.join(bi, bk["code"] == bi["_b"], "left").groupBy("id").agg(F.count(F.lit(1)).alias("rows_after_join"))
+
+
+@query
+def durations(spark, sf_dir):
+    """ISO timeline text -> timestamps -> whole seconds and minutes."""
+    t = _src(spark, sf_dir)
+    db = t["delivery_booking"].select("booking_code", "timeline")
+    bk = t["bookings"].select("code", "created_at")
+    created = _x.parse_ts_dropping_millis("created_at", strict=True)
+    alloc = _x.parse_iso_z(_x.json_text("timeline", "$.allocate"))
+    pick = _x.parse_iso_z(_x.json_text("timeline", "$.pickup"))
+    fail = _x.parse_iso_z(_x.json_text("timeline", "$.fail"))
+    return db.join(bk, db["booking_code"] == bk["code"]).select(
+        "booking_code",
+        alloc.alias("allocation_time"),
+        _x.elapsed_seconds(created, alloc).alias("secs_to_allocate"),
+        _x.whole_minutes(created, alloc).alias("time_to_allocate"),
+        _x.whole_minutes(alloc, pick).alias("time_to_pick"),
+        _x.whole_minutes(created, fail).alias("time_to_fail"),
+    )
+
+
+@query
+def mart_copy(spark, sf_dir):
+    """Run the dimension steps, write them, read the published copy back."""
+    t = _src(spark, sf_dir)
+    out = _run(spark, t, PARAMS, steps=["express_taxi_types", "merchants_snapshot"])
+    return out["merchants_snapshot"].select("*")
+
+
+# --- snippet operators over the provided tables ---------------------------------------
+
+from parcelmart.functions import arrays as _arr, text as _txt  # noqa: E402
+from parcelmart.functions.tokens import reset_url as _reset_url  # noqa: E402
+
+# The keywords searched for in ``word_search`` and the word looked up in ``list_index``.
+SEARCH_KEYWORDS = ["the", "Le", "und", "casino", "qui", "Ère"]
+LOOKUP_WORD = "the"
+
+
+@query
+def format_digits(spark, sf_dir):
+    """Price printed with a per-row number of digits (Python rounding)."""
+    part = load(spark, sf_dir, "part")
+    digits = (F.col("p_size") % 4).cast("int")
+    return part.select(
+        "p_partkey", "p_retailprice", digits.alias("digits"),
+        _txt.format_fixed("p_retailprice", digits).alias("price_text"),
+        _txt.format_fixed(F.col("p_retailprice") / 8, 2).alias("eighth_text"),
+    )
+
+
+@query
+def mod_default(spark, sf_dir):
+    """Y2: Python modulo with default divisor 3, and with a negative divisor."""
+    o = load(spark, sf_dir, "orders")
+    total = F.col("o_custkey") - 500
+    return o.select("o_orderkey", total.alias("total"), _txt.py_mod(total).alias("smash"),
+                    _txt.py_mod(total, -7).alias("smash_neg"))
+
+
+@query
+def list_index(spark, sf_dir):
+    """0-based position of a word in each document's space-split text (NULL if absent)."""
+    d = load(spark, sf_dir, "documents")
+    return d.select("doc_id", _arr.index_of(F.split("text", " "), LOOKUP_WORD).alias("position"))
+
+
+@query
+def any_multiple(spark, sf_dir):
+    """Y8 (grouped form): does any line quantity of an order divide by 7."""
+    li = load(spark, sf_dir, "lineitem")
+    return li.groupBy("l_orderkey").agg(_arr.any_multiple_agg("l_quantity", 7).alias("has_lucky_number"))
+
+
+@query
+def nested_index(spark, sf_dir):
+    """``x[2, -1]`` on each embedding viewed as rows of 8."""
+    e = load(spark, sf_dir, "embeddings")
+    return e.select("vec_id", _arr.at(_arr.rows_of("embedding", 8), 2, -1).alias("value"))
+
+
+@query
+def to_array(spark, sf_dir):
+    """Float list -> array<double>."""
+    e = load(spark, sf_dir, "embeddings")
+    return e.select("vec_id", _arr.to_double_array("embedding").alias("vec"))
+
+
+@query
+def array_add(spark, sf_dir):
+    """Add 10 to every element."""
+    e = load(spark, sf_dir, "embeddings")
+    return e.select("vec_id", _arr.add_scalar(_arr.to_double_array("embedding"), 10).alias("vec"))
+
+
+@query
+def grade_message(spark, sf_dir):
+    """pass/fail outcome and the printed message for grade = 2 x size."""
+    part = load(spark, sf_dir, "part")
+    grade = F.col("p_size") * 2
+    return part.select("p_partkey", grade.alias("grade"), _txt.quiz_outcome(grade).alias("outcome"),
+                       _txt.quiz_message(grade).alias("message"))
+
+
+@query
+def map_lines(spark, sf_dir):
+    """``k = v`` lines for a name -> segment dictionary."""
+    c = load(spark, sf_dir, "customer")
+    return c.select("c_custkey", _txt.key_value_line("c_name", "c_mktsegment").alias("line"))
+
+
+@query
+def rjust_labels(spark, sf_dir):
+    """Right-justified names with their initial."""
+    p = load(spark, sf_dir, "part")
+    return p.select("p_partkey", _txt.begins_with_line("p_name", F.upper(F.substring("p_name", 1, 1))).alias("line"))
+
+
+@query
+def word_search(spark, sf_dir):
+    """Documents containing each keyword as a whole normalised token."""
+    d = load(spark, sf_dir, "documents")
+    return _txt.word_search(d, "text", SEARCH_KEYWORDS, "doc_id")
+
+
+@query
+def argmin_as_int(spark, sf_dir):
+    """Smallest of three numeric strings by integer value, first wins ties."""
+    p = load(spark, sf_dir, "part")
+    s1 = F.col("p_size").cast("string")
+    s2 = F.lpad((F.col("p_size") % 10).cast("string"), 2, "0")
+    s3 = (F.col("p_partkey") % 50).cast("string")
+    return p.select("p_partkey", s1.alias("s1"), s2.alias("s2"), s3.alias("s3"),
+                    _arr.min_as_int(s1, s2, s3).alias("smallest"))
+
+
+@query
+def token_url(spark, sf_dir):
+    """A reset URL with a fresh URL-safe token per customer (no oracle)."""
+    c = load(spark, sf_dir, "customer")
+    return c.select("c_custkey", _reset_url("https://example.invalid/reset=", "c_custkey").alias("url"))

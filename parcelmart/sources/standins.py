@@ -78,7 +78,7 @@ SELECT k.id,
        CAST(k.id % 24 AS STRING) AS hour_local,
        k.country_name,
        k.city_name,
-       k.country_id,
+       CASE WHEN k.id % 101 = 50 THEN NULL ELSE k.country_id END AS country_id,
        k.city_id,
        k.date_local,
        CASE WHEN k.id % 211 = 5 THEN NULL
