@@ -8,6 +8,7 @@ pandas UDF.
 
 from __future__ import annotations
 
+import re
 import sys
 
 import pandas as pd
@@ -126,7 +127,8 @@ def _python_whitespace_class() -> str:
 
 
 # Java and RE2 both accept the \x{...} form.
-WHITESPACE_RUN = _python_whitespace_class() + "+"
+WHITESPACE_CLASS = _python_whitespace_class()
+WHITESPACE_RUN = WHITESPACE_CLASS + "+"
 
 
 def word_tokens(text) -> Column:
@@ -136,20 +138,55 @@ def word_tokens(text) -> Column:
 
 def normalized_tokens(text) -> Column:
     """Tokens with trailing '.' and ',' removed, lower-cased (leading ones are kept)."""
-    return F.transform(word_tokens(text), lambda t: F.lower(F.regexp_replace(t, r"[.,]+\z", "")))
+    return F.transform(word_tokens(text), lambda t: F.lower(F.rtrim(t, F.lit(".,"))))
+
+
+def _quote(k: str) -> str:
+    return "\\Q" + k.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def keyword_pattern(lowered: list[str]) -> str:
+    """Regex matching a whitespace-delimited token equal to one of ``lowered``
+    once trailing '.'/',' are removed; group 1 is the keyword.
+
+    Matching the lower-cased text with this pattern is the same test as
+    ``keyword.lower() in [t.rstrip('.,').lower() for t in text.split()]``.
+    """
+    alts = "|".join(_quote(k) for k in lowered)
+    return f"(?:^|{WHITESPACE_CLASS})({alts})[.,]*(?={WHITESPACE_CLASS}|\\z)"
+
+
+def contains_word(text, keyword: str) -> Column:
+    """Y7 as a predicate: does ``text`` contain ``keyword`` as a normalised token."""
+    return F.array_contains(normalized_tokens(text), F.lit(keyword.lower()))
 
 
 def word_search(df: DataFrame, text: str, keywords: list[str], id_col: str) -> DataFrame:
     """``(keyword, id)`` for every document whose normalised tokens contain the
     lower-cased keyword; one row per (keyword, document), ids ascending.
 
-    One pass over the documents, whole texts: each document's token set is
-    intersected with the keyword set, then the hits are exploded. No join.
+    One pass over each whole text and no join: a single regular expression
+    over the lower-cased text finds every keyword occurrence at token
+    boundaries; the distinct hits are exploded and mapped back to the keywords
+    as given. The hit rows are hash-shuffled before the global sort, so the
+    sort's range sampling reads those small rows instead of re-scanning the texts.
     """
-    kws = F.array(*[F.lit(k) for k in keywords])
-    hits = F.filter(kws, lambda k: F.array_contains(F.col("_tokens"), F.lower(k)))
+    by_lower: dict[str, list[str]] = {}
+    for k in keywords:
+        by_lower.setdefault(k.lower(), []).append(k)
+    # A token has no whitespace and never ends in '.' or ',' after stripping.
+    matchable = [k for k in by_lower if k and not re.search(r"\s", k) and k[-1] not in ".,"]
+    lowered = F.lower(F.col(text))
+    hits = F.array_distinct(F.regexp_extract_all(lowered, F.lit(keyword_pattern(matchable)), 1)) if matchable \
+        else F.array().cast("array<string>")
+    if "" in by_lower:  # only a token made of '.'/',' normalises to ''
+        empty = f"(?:^|{WHITESPACE_CLASS})[.,]+(?={WHITESPACE_CLASS}|\\z)"
+        hits = F.when(lowered.rlike(empty), F.array_union(hits, F.array(F.lit("")))).otherwise(hits)
+    originals = F.create_map(*[x for kl, ks in by_lower.items() for x in (F.lit(kl), F.array(*map(F.lit, ks)))])
     return (
-        df.select(id_col, normalized_tokens(text).alias("_tokens"))
-        .select(id_col, F.explode(hits).alias("keyword"))
+        df.select(id_col, hits.alias("_hits"))
+        .select(id_col, F.explode("_hits").alias("_hit"))
+        .select(id_col, F.explode(originals[F.col("_hit")]).alias("keyword"))
+        .repartition(id_col)
         .orderBy("keyword", id_col)
     )

@@ -19,8 +19,11 @@ Rules that keep the comparison exact:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from parcelmart.session import checkpoint_dir
 from parcelmart.sources.tables import register_views
 
 # Shared pieces ------------------------------------------------------------------
@@ -306,16 +309,41 @@ def standin_ctes(names=None) -> str:
     return "WITH " + ",\n".join(parts)
 
 
-def standin_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The stand-in sources as DataFrames over ``sf_dir``'s tables.
+_WRITTEN: dict[tuple[str, str], str] = {}
 
-    The definitions reference each other by name, so each is registered as a
-    temp view once analysed; the returned DataFrames stay bound to ``sf_dir``.
-    """
+
+def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     register_views(spark, sf_dir, names=["orders", "customer", "nation", "lineitem", "events", "supplier"])
     out = {}
     for name, sql in STANDIN_SQL.items():
         df = spark.sql(sql)
         df.createOrReplaceTempView(name)
         out[name] = df
-    return {name: out[name] for name in MART_SOURCES}
+    return out
+
+
+def standin_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
+    """The stand-in sources over ``sf_dir``'s tables.
+
+    With ``materialize`` (the default) they are derived once per session and
+    ``sf_dir``, written as parquet under the shared checkpoint folder and
+    returned as scans -- like the stored source tables the mart reads in
+    production, with real size statistics for the planner. ``bk_keys`` is
+    written first so the other derivations read it instead of repeating the
+    orders/customer/nation join. Without ``materialize`` the derivations are
+    returned as lazy plans (the definitions reference each other by temp-view
+    name; ``spark.sql`` binds them when called).
+    """
+    if not materialize:
+        out = _derive(spark, sf_dir)
+        return {name: out[name] for name in MART_SOURCES}
+    key = (spark.sparkContext.applicationId, sf_dir)
+    base = _WRITTEN.get(key)
+    if base is None:
+        base = f"{checkpoint_dir(spark).rstrip('/')}/parcelmart-standins-{uuid.uuid4().hex[:12]}"
+        register_views(spark, sf_dir, names=["orders", "customer", "nation", "lineitem", "events", "supplier"])
+        for name, sql in STANDIN_SQL.items():
+            spark.sql(sql).write.mode("overwrite").parquet(f"{base}/{name}")
+            spark.read.parquet(f"{base}/{name}").createOrReplaceTempView(name)
+        _WRITTEN[key] = base
+    return {name: spark.read.parquet(f"{base}/{name}") for name in MART_SOURCES}
