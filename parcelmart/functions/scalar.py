@@ -31,8 +31,12 @@ def _col(c) -> Column:
 # --- strings -----------------------------------------------------------------
 
 def has_prefix(c, prefix: str) -> Column:
-    """``substr(c, 1, len(prefix)) = prefix``; NULL stays NULL."""
-    return F.substring(_col(c), 1, len(prefix)) == F.lit(prefix)
+    """``substr(c, 1, len(prefix)) = prefix``; NULL stays NULL.
+
+    Written as ``startswith`` so it reaches the parquet reader as a pushed
+    ``StringStartsWith`` filter (row groups whose min/max exclude the prefix are skipped).
+    """
+    return _col(c).startswith(prefix)
 
 
 def not_blank(c) -> Column:

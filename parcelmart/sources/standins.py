@@ -298,6 +298,11 @@ WHERE k.id % 3 <> 1
 
 MART_SOURCES = [name for name in STANDIN_SQL if name != "bk_keys"]
 
+# Sources stored partitioned by the string column ``year``, like the source
+# tables' date partitions: ``year = '2018'`` filters then prune directories.
+PARTITIONED_BY_YEAR = {"bookings", "delivery_booking", "delivery_info", "express_event", "booking_service",
+                       "receipts", "unique_bookings"}
+
 # Parameter values for the stand-in data (the mart itself takes them as arguments).
 STANDIN_FAMILY = "Courier"
 
@@ -343,7 +348,10 @@ def standin_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -
         base = f"{checkpoint_dir(spark).rstrip('/')}/parcelmart-standins-{uuid.uuid4().hex[:12]}"
         register_views(spark, sf_dir, names=["orders", "customer", "nation", "lineitem", "events", "supplier"])
         for name, sql in STANDIN_SQL.items():
-            spark.sql(sql).write.mode("overwrite").parquet(f"{base}/{name}")
+            writer = spark.sql(sql).write.mode("overwrite")
+            if name in PARTITIONED_BY_YEAR:
+                writer = writer.partitionBy("year")
+            writer.parquet(f"{base}/{name}")
             spark.read.parquet(f"{base}/{name}").createOrReplaceTempView(name)
         _WRITTEN[key] = base
     return {name: spark.read.parquet(f"{base}/{name}") for name in MART_SOURCES}
