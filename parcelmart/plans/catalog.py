@@ -35,15 +35,43 @@ def bucket_histogram_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the booking mart over stand-in sources -------------------------------------------
 
 from parcelmart.plans import mart as _mart  # noqa: E402
-from parcelmart.plans.runner import build as _build  # noqa: E402
 from parcelmart.sources.standins import STANDIN_FAMILY, standin_tables  # noqa: E402
 
 PARAMS = _mart.MartParams(type_family=STANDIN_FAMILY)
 
+# Upstream steps a query reads are stored once per session and ``sf_dir``, as
+# the source pipeline stores every step and later steps read the stored table.
+_STORED: dict[tuple[str, str], tuple[str, dict]] = {}
+
+
+def _stored_steps(spark: SparkSession, sf_dir: str, t: dict, names: list[str]) -> dict:
+    from parcelmart.plans.runner import STEPS
+    from parcelmart.sources.sinks import new_run_dir, write_table
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    run_dir, stored = _STORED.setdefault(key, (new_run_dir(spark), {}))
+    for name, step in STEPS:
+        if name in names and name not in stored:
+            stored[name] = write_table(step(t, PARAMS, stored), f"{run_dir}/{name}")
+    return stored
+
+
+def _mart_inputs(spark: SparkSession, sf_dir: str, reads: list[str]):
+    """Sources plus the stored derived tables ``reads`` (and what they read)."""
+    from parcelmart.plans.runner import upstream_of
 
-def _mart_outputs(spark: SparkSession, sf_dir: str, until: str):
     t = standin_tables(spark, sf_dir)
-    return t, _build(t, PARAMS, until=until)
+    names = upstream_of(reads) + [n for n in reads if n not in upstream_of(reads)]
+    return t, dict(_stored_steps(spark, sf_dir, t, names))
+
+
+def _mart_outputs(spark: SparkSession, sf_dir: str, until: str):
+    """Sources plus step ``until`` as a lazy plan over its stored inputs."""
+    from parcelmart.plans.runner import DEPENDS_ON, STEPS
+
+    t, d = _mart_inputs(spark, sf_dir, DEPENDS_ON[until])
+    d[until] = dict(STEPS)[until](t, PARAMS, d)
+    return t, d
 
 
 @query
@@ -91,14 +119,15 @@ def distinct_counts(spark, sf_dir):
 @query
 def last_attempt(spark, sf_dir):
     """Latest attempt per invoice."""
-    t, d = _mart_outputs(spark, sf_dir, "merchant_mapping")
+    t, d = _mart_inputs(spark, sf_dir, ["express_taxi_types", "merchant_mapping", "service_type_map",
+                                        "booking_invoice"])
     return _mart.last_attempts(t, PARAMS, d)
 
 
 @query
 def first_attempt(spark, sf_dir):
     """Earliest attempt per invoice."""
-    t, d = _mart_outputs(spark, sf_dir, "merchant_mapping")
+    t, d = _mart_inputs(spark, sf_dir, ["express_taxi_types", "booking_invoice"])
     return _mart.first_attempts(t, PARAMS, d)
 
 
@@ -285,8 +314,8 @@ def inner_residual_join(spark, sf_dir):
 @query
 def fanout_join(spark, sf_dir):
     """Left join whose columns are unused still repeats rows (kept for parity)."""
-    t = _src(spark, sf_dir)
-    bi = _mart.booking_invoice(t, PARAMS).select(F.col("booking_code").alias("_b"), "invoice_number")
+    t, d = _mart_inputs(spark, sf_dir, ["booking_invoice"])
+    bi = d["booking_invoice"].select(F.col("booking_code").alias("_b"), "invoice_number")
     bk = t["bookings"].select("id", "code")
     return bk.join(bi, bk["code"] == bi["_b"], "left").groupBy("id").agg(F.count(F.lit(1)).alias("rows_after_join"))
 

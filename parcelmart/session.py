@@ -71,6 +71,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("PARCELMART_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Small local test files: do not pack several into one scan task.
+        .config("spark.sql.files.openCostInBytes", str(256 * 1024))
     )
     for key, value in {**RESULT_SETTINGS, **SCALE_SETTINGS}.items():
         builder = builder.config(key, value)

@@ -347,8 +347,10 @@ def standin_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -
     if base is None:
         base = f"{checkpoint_dir(spark).rstrip('/')}/parcelmart-standins-{uuid.uuid4().hex[:12]}"
         register_views(spark, sf_dir, names=["orders", "customer", "nation", "lineitem", "events", "supplier"])
+        files = max(1, spark.sparkContext.defaultParallelism)
         for name, sql in STANDIN_SQL.items():
-            writer = spark.sql(sql).write.mode("overwrite")
+            # Test fixtures: spread each table over one file per core so scans are parallel.
+            writer = spark.sql(sql).repartition(files).write.mode("overwrite")
             if name in PARTITIONED_BY_YEAR:
                 writer = writer.partitionBy("year")
             writer.parquet(f"{base}/{name}")
