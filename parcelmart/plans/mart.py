@@ -264,11 +264,34 @@ def area_lookup(t: dict) -> DataFrame:
     )
 
 
+def named_mapping(d: dict, t: dict) -> DataFrame:
+    """Merchant mapping with the merchant name attached (keyed by booking code).
+
+    Joining the merchants to the mapping before the bookings keeps every later
+    join of the bookings on the booking code (left joins are associative here:
+    the merchants' condition only reads mapping columns).
+    """
+    mm = d["merchant_mapping"].select(F.col("code").alias("_mm_code"), "partner_id")
+    merchants = t["merchants"].select(F.col("merchant_id").cast("string").alias("_m_id"), "merchant_name")
+    return mm.join(merchants, mm["partner_id"] == merchants["_m_id"], "left").select("_mm_code", "merchant_name")
+
+
 def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
     """B7 (steps 6-7): 10 keys x 64 conditional measures, one aggregation pass.
 
     ``d`` holds the derived tables: express_taxi_types, merchant_mapping,
     service_type_map, booking_invoice, pax_fares.
+
+    Join order (all are left joins on booking columns, so they commute):
+    1. semi join to the delivery vehicle types (drops other bookings early);
+    2. joins on other booking keys while each booking is still one row
+       (unique_bookings by id, the area map by geohash/city/country);
+    3. every join on the booking code, consecutively, so the bookings are
+       hash-partitioned by code once -- the candidate join keeps only the code
+       as its key, the partition date is a residual condition;
+    4. the vehicle-type joins that repeat rows (k versions -> k rows, as in the
+       source), the validity filter and the month rate (small dimensions);
+    5. one aggregation.
     """
     since = day_before(p.metrics_from)
     bk = t["bookings"].where(
@@ -281,21 +304,27 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
         "partition_date", "created_at_local",
     )
     types = d["express_taxi_types"]
-    # Dimension joins first: the type join filters rows before any large shuffle.
-    # The source joins the type table twice (inner, then left with the validity
-    # test); both are kept, so k type versions give k rows per booking.
-    ge = types.select(F.col("taxi_type_id").alias("_ge_id"))
-    tt = types.select(F.col("taxi_type_id").alias("_tt_id"), F.col("start_at").alias("_tt_start"),
-                      F.col("end_at").alias("_tt_end"))
-    rows = (
-        bk.join(ge, bk["taxi_type_id"] == ge["_ge_id"])
-        .join(tt, F.col("taxi_type_id") == tt["_tt_id"], "left")
-        .where(in_validity("created_at_local", "_tt_start", "_tt_end"))
+    type_ids = types.select(F.col("taxi_type_id").alias("_s_id"))
+    rows = bk.join(type_ids, bk["taxi_type_id"] == type_ids["_s_id"], "left_semi")
+
+    ub = t["unique_bookings"].where(parts_text("year", "month", "day") >= since).select(
+        "last_id", "first_at", "first_allocated"
+    )
+    rows = rows.join(ub, F.col("id") == ub["last_id"], "left")
+    area = area_lookup(t).select(
+        F.col("geohash").alias("_a_geohash"), F.col("city_id").alias("_a_city"),
+        F.col("country_id").alias("_a_country"), "area",
+    )
+    rows = rows.join(
+        area,
+        (area["_a_geohash"] == F.col("pickup_geohash"))
+        & (area["_a_city"] == F.col("city_id"))
+        & (area["_a_country"] == F.col("country_id")),
+        "left",
     )
-    rows = anti(rows, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
 
-    # Joins on the booking code, one after the other (one shuffle of the bookings).
-    mm = d["merchant_mapping"].select(F.col("code").alias("_mm_code"), "partner_id")
+    rows = anti(rows, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
+    mm = named_mapping(d, t)
     bs = d["service_type_map"].select(F.col("booking_code").alias("_bs_code"), "service_type")
     bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"))
     pf = d["pax_fares"].select(F.col("booking_code").alias("_pf_code"), "pax_Fare")
@@ -310,15 +339,6 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
         .groupBy(F.col("booking_code").alias("_inc_code"))
         .agg(F.sum("payout_per_ride").alias("incentive_payout"))
     )
-    for right, key in ((mm, "_mm_code"), (bs, "_bs_code"), (bi, "_bi_code"), (pf, "_pf_code"),
-                       (rec, "_rec_code"), (promo, "_promo_code"), (incentive, "_inc_code")):
-        rows = rows.join(right, F.col("code") == right[key], "left")
-
-    ub = t["unique_bookings"].where(parts_text("year", "month", "day") >= since).select(
-        "last_id", "first_at", "first_allocated"
-    )
-    rows = rows.join(ub, F.col("id") == ub["last_id"], "left")
-
     ttv = t["taxi_types"].where(F.col("taxi_type_simple") == p.type_family).select(F.col("id").alias("_ttv_id"))
     cm = t["candidate_metadata"]
     cmet = (
@@ -329,22 +349,24 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
             "awarded_time", "cancel_passenger_time", "cancel_driver_time", "cancel_operator_time",
         )
     )
-    rows = rows.join(cmet, (F.col("code") == cmet["_cm_code"]) & (F.col("partition_date") == cmet["_cm_pdate"]), "left")
+    for right, key in ((mm, "_mm_code"), (bs, "_bs_code"), (bi, "_bi_code"), (pf, "_pf_code"),
+                       (rec, "_rec_code"), (promo, "_promo_code"), (incentive, "_inc_code")):
+        rows = rows.join(right, F.col("code") == right[key], "left")
+    # Residual (not a join key): keeps this join on the code partitioning.
+    same_day = F.coalesce(F.col("partition_date") == cmet["_cm_pdate"], F.lit(False))
+    rows = rows.join(cmet, (F.col("code") == cmet["_cm_code"]) & same_day, "left")
 
-    merchants = t["merchants"].select(F.col("merchant_id").cast("string").alias("_m_id"), "merchant_name")
-    rows = rows.join(merchants, F.col("partner_id") == merchants["_m_id"], "left")
-    rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
-    area = area_lookup(t).select(
-        F.col("geohash").alias("_a_geohash"), F.col("city_id").alias("_a_city"),
-        F.col("country_id").alias("_a_country"), "area",
-    )
-    rows = rows.join(
-        area,
-        (area["_a_geohash"] == F.col("pickup_geohash"))
-        & (area["_a_city"] == F.col("city_id"))
-        & (area["_a_country"] == F.col("country_id")),
-        "left",
+    # The source joins the type table twice (inner, then left with the validity
+    # test); both are kept, so k type versions give k rows per booking.
+    ge = types.select(F.col("taxi_type_id").alias("_ge_id"))
+    tt = types.select(F.col("taxi_type_id").alias("_tt_id"), F.col("start_at").alias("_tt_start"),
+                      F.col("end_at").alias("_tt_end"))
+    rows = (
+        rows.join(ge, F.col("taxi_type_id") == ge["_ge_id"])
+        .join(tt, F.col("taxi_type_id") == tt["_tt_id"], "left")
+        .where(in_validity("created_at_local", "_tt_start", "_tt_end"))
     )
+    rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
     return cube_from_rows(rows)
 
 
@@ -485,20 +507,21 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
          "city_name", "date_local", "country_id", "taxi_type_id"],
     )
     b = anti(b, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
-    mm = d["merchant_mapping"].select(F.col("code").alias("_mm_code"), "partner_id")
+    mm = named_mapping(d, t)
     bs = d["service_type_map"].select(F.col("booking_code").alias("_bs_code"), "service_type")
     bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"), "invoice_number")
+    # Delivery rows with their info rows, joined on the delivery code before
+    # meeting the bookings, so every join of the bookings is on the booking code.
     db = t["delivery_booking"].where(F.col("year") == p.year).select(
         F.col("booking_code").alias("_db_code"), F.col("delivery_code").alias("_db_delivery"), "timeline"
     )
     info = t["delivery_info"].where(F.col("year") == p.year).select(F.col("delivery_code").alias("_i_code"), "quote")
+    delivered = db.join(info, db["_db_delivery"] == info["_i_code"]).select("_db_code", "timeline", "quote")
     rows = b
     for right, key in ((mm, "_mm_code"), (bs, "_bs_code"), (bi, "_bi_code")):
         rows = rows.join(right, F.col("code") == right[key], "left")
     # LEFT JOINs made inner by the source's WHERE on booking.year and info.year.
-    rows = rows.join(db, F.col("code") == db["_db_code"]).join(info, F.col("_db_delivery") == info["_i_code"])
-    merchants = t["merchants"].select(F.col("merchant_id").cast("string").alias("_m_id"), "merchant_name")
-    rows = rows.join(merchants, F.col("partner_id") == merchants["_m_id"], "left")
+    rows = rows.join(delivered, F.col("code") == delivered["_db_code"])
     rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
     x, fare, amount = F.col("exchange_one_usd"), F.col("fare"), json_double("quote", "$.amount")
     tl = F.col("timeline")
