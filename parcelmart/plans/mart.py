@@ -22,7 +22,11 @@ Rewrites against the source text (same results, cheaper plans):
 * ``DISTINCT`` inside ``UNION ALL`` branches is dropped when a later
   ``DISTINCT`` or ``MAX`` absorbs it;
 * ROW_NUMBER()=1 per invoice is a ``max_by``/``min_by`` aggregate, which
-  combines map-side (see ``operators.relational.top1_per_group``).
+  combines map-side (see ``operators.relational.top1_per_group``); its ties
+  break on every column, so the source's DISTINCT before it is not needed;
+* joins on other keys than the booking code run while each booking is still
+  one row, and tables keyed by another code (merchants, delivery info) are
+  joined to their mapping first, so the fanned-out rows are never re-shuffled.
 """
 
 from __future__ import annotations
@@ -498,8 +502,7 @@ SUMMARY_KEYS = [
 def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
     """Per invoice, the latest attempt (by ``created_at`` text, NULL last).
 
-    Rows are first de-duplicated over the 20 output columns, as in the source;
-    ties on ``created_at`` resolve by booking code, then by the other columns.
+    Ties on ``created_at`` resolve by booking code, then by the other columns.
     """
     b = _partner_bookings(
         t, p, d["express_taxi_types"],
@@ -525,7 +528,7 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
     rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
     x, fare, amount = F.col("exchange_one_usd"), F.col("fare"), json_double("quote", "$.amount")
     tl = F.col("timeline")
-    distinct_rows = rows.select(
+    candidates = rows.select(
         "invoice_number",
         F.col("code").alias("booking_code"),
         "state",
@@ -546,8 +549,11 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
         parse_iso_z(json_text(tl, "$.pickup")).alias("pickup_time"),
         parse_iso_z(json_text(tl, "$.dropoff")).alias("dropoff_time"),
         parse_iso_z(json_text(tl, "$.fail")).alias("fail_time"),
-    ).distinct()
-    return top1_per_group(distinct_rows, "invoice_number", [F.col("created_at"), F.col("booking_code")],
+    )
+    # The source de-duplicates the 20 columns before ROW_NUMBER. With ties broken
+    # on every column the chosen values are the same with or without duplicates,
+    # so that extra shuffle of the wide rows is skipped.
+    return top1_per_group(candidates, "invoice_number", [F.col("created_at"), F.col("booking_code")],
                           descending=True, columns=FINAL_COLUMNS[1:])
 
 
@@ -559,7 +565,7 @@ def first_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
     rows = b.join(bi, F.col("code") == bi["_bi_code"], "left").select(
         "invoice_number", F.col("code").alias("booking_code"), "created_at",
         F.col("hour_local").alias("invoice_hour_local"),
-    ).distinct()
+    )  # no DISTINCT needed before the top-1 (see last_attempts)
     first = top1_per_group(rows, "invoice_number", [F.col("created_at"), F.col("booking_code")],
                            descending=False, columns=["booking_code", "created_at", "invoice_hour_local"])
     return first.select(
