@@ -19,9 +19,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table; the alias lets joins qualify columns as ``name.col``."""
-    return spark.read.parquet(table_path(sf_dir, name)).alias(name)
+    """Scan one table; the alias lets joins qualify columns as ``name.col``.
+
+    The scan object (file listing, footer schema) is made once per session and
+    path, like a catalog table; every query still reads the files.
+    """
+    key = (spark.sparkContext.applicationId, table_path(sf_dir, name))
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(key[1]).alias(name)
+    return _SCANS[key]
 
 
 def load_all(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> dict[str, DataFrame]:
