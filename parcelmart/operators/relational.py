@@ -108,3 +108,20 @@ def conditional_sum(pred: Column | None, measure: Column, otherwise_zero: bool =
         return F.sum(measure)
     when = F.when(pred, measure)
     return F.sum(when.otherwise(F.lit(0)) if otherwise_zero else when)
+
+
+def spread_null_key(key: Column, salt: Column) -> Column:
+    """Join key for the preserved side of a chain of left/anti joins.
+
+    Equal to ``match_key(key)`` when ``key`` is set. For a NULL ``key`` it is a
+    value no ``match_key`` produces, spread by ``salt``: such rows still match
+    nothing (NULL keys never match), but they no longer hash to one shuffle
+    partition -- a hot NULL group that AQE's skew split cannot reach once the
+    joins are chained on one partitioning.
+    """
+    return F.struct(key.isNull().alias("n"), F.coalesce(key, salt.cast("string")).alias("k"))
+
+
+def match_key(key: Column) -> Column:
+    """Join key for the other side of ``spread_null_key``."""
+    return F.struct(F.lit(False).alias("n"), key.cast("string").alias("k"))

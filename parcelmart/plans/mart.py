@@ -58,7 +58,15 @@ from parcelmart.functions.scalar import (
     week_start,
     whole_minutes,
 )
-from parcelmart.operators.relational import anti, conditional_sum, max_per_key, top1_per_group, union_distinct
+from parcelmart.operators.relational import (
+    anti,
+    conditional_sum,
+    match_key,
+    max_per_key,
+    spread_null_key,
+    top1_per_group,
+    union_distinct,
+)
 from parcelmart.plans.metrics import (
     CANCELLED_STATES,
     COUNT_MEASURES,
@@ -292,7 +300,8 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
        (unique_bookings by id, the area map by geohash/city/country);
     3. every join on the booking code, consecutively, so the bookings are
        hash-partitioned by code once -- the candidate join keeps only the code
-       as its key, the partition date is a residual condition;
+       as its key, the partition date is a residual condition; bookings with a
+       NULL code get a never-matching key spread by id (``spread_null_key``);
     4. the vehicle-type joins that repeat rows (k versions -> k rows, as in the
        source), the validity filter and the month rate (small dimensions);
     5. one aggregation.
@@ -327,7 +336,10 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
         "left",
     )
 
-    rows = anti(rows, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
+    # Bookings with a NULL code match nothing below; their key is spread by id.
+    rows = rows.withColumn("_jk", spread_null_key(F.col("code"), F.col("id")))
+    rows = anti(rows, t["test_bookings"].select(F.col("code").alias("_tb_code")),
+                F.col("_jk") == match_key(F.col("_tb_code")))
     mm = named_mapping(d, t)
     bs = d["service_type_map"].select(F.col("booking_code").alias("_bs_code"), "service_type")
     bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"))
@@ -355,10 +367,10 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
     )
     for right, key in ((mm, "_mm_code"), (bs, "_bs_code"), (bi, "_bi_code"), (pf, "_pf_code"),
                        (rec, "_rec_code"), (promo, "_promo_code"), (incentive, "_inc_code")):
-        rows = rows.join(right, F.col("code") == right[key], "left")
+        rows = rows.join(right, F.col("_jk") == match_key(right[key]), "left")
     # Residual (not a join key): keeps this join on the code partitioning.
     same_day = F.coalesce(F.col("partition_date") == cmet["_cm_pdate"], F.lit(False))
-    rows = rows.join(cmet, (F.col("code") == cmet["_cm_code"]) & same_day, "left")
+    rows = rows.join(cmet, (F.col("_jk") == match_key(cmet["_cm_code"])) & same_day, "left")
 
     # The source joins the type table twice (inner, then left with the validity
     # test); both are kept, so k type versions give k rows per booking.

@@ -98,3 +98,21 @@ def test_runner_writes_and_rereads(spark, mart_outputs, tmp_path):
     for name in ["express_taxi_types", "pax_fares", "booking_invoice"]:
         assert (tmp_path / "run" / name).exists()
         assert sorted(map(tuple, out[name].collect()), key=str) == sorted(map(tuple, d[name].collect()), key=str)
+
+
+def test_spread_null_key_matches_like_plain_left_join(spark):
+    from parcelmart.operators.relational import match_key, spread_null_key
+
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "b")], "id int, code string")
+    right = spark.createDataFrame([("a", 10), (None, 20), ("b", 30), ("b", 31)], "rcode string, v int")
+    plain = left.join(right, left["code"] == right["rcode"], "left").select("id", "v")
+    spread = (
+        left.withColumn("_jk", spread_null_key(F.col("code"), F.col("id")))
+        .join(right, F.col("_jk") == match_key(right["rcode"]), "left")
+        .select("id", "v")
+    )
+    assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    anti_plain = left.join(right, left["code"] == right["rcode"], "left_anti").count()
+    anti_spread = left.withColumn("_jk", spread_null_key(F.col("code"), F.col("id"))).join(
+        right, F.col("_jk") == match_key(right["rcode"]), "left_anti").count()
+    assert anti_plain == anti_spread == 2
