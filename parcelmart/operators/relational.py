@@ -21,16 +21,14 @@ def bucketize(df: DataFrame, value: str, width=5, sort: bool = True) -> DataFram
     a NULL value forms one NULL bucket. The plan is a partial aggregate, one
     shuffle on the bucket, and a range-partitioned sort of the (small) result.
     """
-    lower = floor_bucket(value, width)
-    upper = lower + F.lit(width)
     out = (
-        df.select(lower.alias("bucket_floor"), upper.alias("_ceiling"))
-        .groupBy("bucket_floor", "_ceiling")
+        df.select(floor_bucket(value, width).alias("bucket_floor"))
+        .groupBy("bucket_floor")
         .agg(F.count(F.lit(1)).alias("count"))
         .select(
             "bucket_floor",
             F.concat(
-                F.col("bucket_floor").cast("string"), F.lit(" to "), F.col("_ceiling").cast("string")
+                F.col("bucket_floor").cast("string"), F.lit(" to "), (F.col("bucket_floor") + F.lit(width)).cast("string")
             ).alias("bucket_name"),
             "count",
         )
