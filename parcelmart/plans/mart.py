@@ -302,9 +302,9 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
        hash-partitioned by code once -- the candidate join keeps only the code
        as its key, the partition date is a residual condition; bookings with a
        NULL code get a never-matching key spread by id (``spread_null_key``);
-    4. the vehicle-type joins that repeat rows (k versions -> k rows, as in the
-       source), the validity filter and the month rate (small dimensions);
-    5. one aggregation.
+    4. the vehicle-type versions (a row multiplicity, see below) and the month
+       rate (small dimensions);
+    5. one aggregation, sums weighted by the multiplicity.
     """
     since = day_before(p.metrics_from)
     bk = t["bookings"].where(
@@ -373,21 +373,34 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
     rows = rows.join(cmet, (F.col("_jk") == match_key(cmet["_cm_code"])) & same_day, "left")
 
     # The source joins the type table twice (inner, then left with the validity
-    # test); both are kept, so k type versions give k rows per booking.
-    ge = types.select(F.col("taxi_type_id").alias("_ge_id"))
-    tt = types.select(F.col("taxi_type_id").alias("_tt_id"), F.col("start_at").alias("_tt_start"),
-                      F.col("end_at").alias("_tt_end"))
-    rows = (
-        rows.join(ge, F.col("taxi_type_id") == ge["_ge_id"])
-        .join(tt, F.col("taxi_type_id") == tt["_tt_id"], "left")
-        .where(in_validity("created_at_local", "_tt_start", "_tt_end"))
-    )
+    # test) and uses neither copy's columns: each booking row counts
+    # (versions of its type) x (versions whose range holds created_at_local)
+    # times. That multiplicity is computed per row from the (small, bounded)
+    # version list of its type and weights the sums, instead of repeating rows.
+    rows = rows.join(type_versions(types), F.col("taxi_type_id") == F.col("_v_id"))
+    valid = F.size(F.filter("_ranges", lambda r: in_validity(F.col("created_at_local"), r["s"], r["e"])))
+    rows = rows.withColumn("_mult", F.col("_n_versions") * valid).where(F.col("_mult") > 0)
     rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
-    return cube_from_rows(rows)
+    return cube_from_rows(rows, weight=F.col("_mult"))
+
+
+def type_versions(types: DataFrame) -> DataFrame:
+    """Per vehicle-type id: number of versions and their validity ranges.
+
+    A dimension of a few versions per id, so the list per id is small and bounded.
+    """
+    return types.groupBy(F.col("taxi_type_id").alias("_v_id")).agg(
+        F.count(F.lit(1)).alias("_n_versions"),
+        F.collect_list(F.struct(F.col("start_at").alias("s"), F.col("end_at").alias("e"))).alias("_ranges"),
+    )
 
 
-def cube_from_rows(rows: DataFrame) -> DataFrame:
-    """The aggregation of B7 over the joined booking rows (one pass, 64 sums)."""
+def cube_from_rows(rows: DataFrame, weight: Column | None = None) -> DataFrame:
+    """The aggregation of B7 over the joined booking rows (one pass, 64 sums).
+
+    ``weight`` is the number of times each row stands for itself (the
+    multiplicity of joins that only repeat rows); every sum is weighted by it.
+    """
     state = F.col("state")
     ub = F.col("is_unique_booking") == "t"
     promo = F.col("promo") == F.lit(True)
@@ -437,6 +450,8 @@ def cube_from_rows(rows: DataFrame) -> DataFrame:
     # Measures stay inside their CASE so they are evaluated only on hits (a
     # strict parse must not fail on rows the predicate excludes); repeated
     # predicates and measures are shared by codegen's common-subexpression pass.
+    if weight is not None:
+        measures = {k: (weight.cast("bigint") if k == "ONE" else m * weight) for k, m in measures.items()}
     aggs = []
     for name, pred_keys, measure_key, otherwise in METRICS:
         pred = None
