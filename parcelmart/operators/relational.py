@@ -123,3 +123,16 @@ def spread_null_key(key: Column, salt: Column) -> Column:
 def match_key(key: Column) -> Column:
     """Join key for the other side of ``spread_null_key``."""
     return F.struct(F.lit(False).alias("n"), key.cast("string").alias("k"))
+
+
+def weighted_distinct(df: DataFrame, key: Column, key_name: str, weight: str) -> DataFrame:
+    """Distinct rows of ``df`` with their multiplicity in ``weight``, plus ``key``.
+
+    For a left join, identical right rows give identical joined rows, so a
+    right side can be replaced by its distinct rows and the count folded into a
+    weight of the result. The rows are hash-partitioned by the join key first
+    (the shuffle the join needs anyway) and counted inside those partitions, so
+    the collapse adds no shuffle.
+    """
+    keyed = df.withColumn(key_name, key)
+    return keyed.repartition(F.col(key_name)).groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias(weight))

@@ -66,6 +66,7 @@ from parcelmart.operators.relational import (
     spread_null_key,
     top1_per_group,
     union_distinct,
+    weighted_distinct,
 )
 from parcelmart.plans.metrics import (
     CANCELLED_STATES,
@@ -295,16 +296,16 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
     service_type_map, booking_invoice, pax_fares.
 
     Join order (all are left joins on booking columns, so they commute):
-    1. semi join to the delivery vehicle types (drops other bookings early);
+    1. the delivery vehicle types, as a per-row weight (drops other bookings early);
     2. joins on other booking keys while each booking is still one row
        (unique_bookings by id, the area map by geohash/city/country);
     3. every join on the booking code, consecutively, so the bookings are
        hash-partitioned by code once -- the candidate join keeps only the code
        as its key, the partition date is a residual condition; bookings with a
        NULL code get a never-matching key spread by id (``spread_null_key``);
-    4. the vehicle-type versions (a row multiplicity, see below) and the month
-       rate (small dimensions);
-    5. one aggregation, sums weighted by the multiplicity.
+    4. the month rate (small dimension);
+    5. one aggregation, sums weighted by the row multiplicity (type versions
+       times the counts of identical rows collapsed on the joined sides).
     """
     since = day_before(p.metrics_from)
     bk = t["bookings"].where(
@@ -316,9 +317,20 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
         "country_id", "city_id", "date_local", "state", "distance", "commission", "pickup_geohash",
         "partition_date", "created_at_local",
     )
-    types = d["express_taxi_types"]
-    type_ids = types.select(F.col("taxi_type_id").alias("_s_id"))
-    rows = bk.join(type_ids, bk["taxi_type_id"] == type_ids["_s_id"], "left_semi")
+    # The source joins the type table twice (inner, then left with the validity
+    # test) and uses neither copy's columns: each booking row counts
+    # (versions of its type) x (versions whose range holds created_at_local)
+    # times. That multiplicity is computed per row from the (small, bounded)
+    # version list of its type and becomes the row's weight; rows of other
+    # vehicle families or with no valid version drop out here.
+    versions = type_versions(d["express_taxi_types"])
+    valid = F.size(F.filter("_ranges", lambda r: in_validity(F.col("created_at_local"), r["s"], r["e"])))
+    rows = (
+        bk.join(versions, bk["taxi_type_id"] == versions["_v_id"])
+        .withColumn("_mult", F.col("_n_versions") * valid)
+        .where(F.col("_mult") > 0)
+        .drop("_v_id", "_n_versions", "_ranges")
+    )
 
     ub = t["unique_bookings"].where(parts_text("year", "month", "day") >= since).select(
         "last_id", "first_at", "first_allocated"
@@ -365,21 +377,24 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
             "awarded_time", "cancel_passenger_time", "cancel_driver_time", "cancel_operator_time",
         )
     )
-    for right, key in ((mm, "_mm_code"), (bs, "_bs_code"), (bi, "_bi_code"), (pf, "_pf_code"),
-                       (rec, "_rec_code"), (promo, "_promo_code"), (incentive, "_inc_code")):
+    # Sides unique per booking join as they are; sides that may hold identical
+    # rows are collapsed to distinct rows with a count that joins the weight.
+    for right, key in ((bs, "_bs_code"), (pf, "_pf_code"), (incentive, "_inc_code")):
         rows = rows.join(right, F.col("_jk") == match_key(right[key]), "left")
+    weights = []
+    for right, key, tag in ((mm, "_mm_code", "mm"), (bi, "_bi_code", "bi"), (rec, "_rec_code", "rec"),
+                            (promo, "_promo_code", "promo")):
+        side = weighted_distinct(right, match_key(right[key]), f"_k_{tag}", f"_w_{tag}")
+        rows = rows.join(side, F.col("_jk") == side[f"_k_{tag}"], "left")
+        weights.append(F.coalesce(F.col(f"_w_{tag}"), F.lit(1)))
+    cm_side = weighted_distinct(cmet, match_key(cmet["_cm_code"]), "_k_cm", "_w_cm")
     # Residual (not a join key): keeps this join on the code partitioning.
-    same_day = F.coalesce(F.col("partition_date") == cmet["_cm_pdate"], F.lit(False))
-    rows = rows.join(cmet, (F.col("_jk") == match_key(cmet["_cm_code"])) & same_day, "left")
+    same_day = F.coalesce(F.col("partition_date") == cm_side["_cm_pdate"], F.lit(False))
+    rows = rows.join(cm_side, (F.col("_jk") == cm_side["_k_cm"]) & same_day, "left")
+    weights.append(F.coalesce(F.col("_w_cm"), F.lit(1)))
 
-    # The source joins the type table twice (inner, then left with the validity
-    # test) and uses neither copy's columns: each booking row counts
-    # (versions of its type) x (versions whose range holds created_at_local)
-    # times. That multiplicity is computed per row from the (small, bounded)
-    # version list of its type and weights the sums, instead of repeating rows.
-    rows = rows.join(type_versions(types), F.col("taxi_type_id") == F.col("_v_id"))
-    valid = F.size(F.filter("_ranges", lambda r: in_validity(F.col("created_at_local"), r["s"], r["e"])))
-    rows = rows.withColumn("_mult", F.col("_n_versions") * valid).where(F.col("_mult") > 0)
+    for w in weights:
+        rows = rows.withColumn("_mult", F.col("_mult") * w)
     rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
     return cube_from_rows(rows, weight=F.col("_mult"))
 
