@@ -116,3 +116,21 @@ def test_spread_null_key_matches_like_plain_left_join(spark):
     anti_spread = left.withColumn("_jk", spread_null_key(F.col("code"), F.col("id"))).join(
         right, F.col("_jk") == match_key(right["rcode"]), "left_anti").count()
     assert anti_plain == anti_spread == 2
+
+
+def test_weighted_distinct_preserves_left_join_sums(spark):
+    from parcelmart.operators.relational import match_key, spread_null_key, weighted_distinct
+
+    left = spark.createDataFrame([(1, "a", 2.0), (2, "b", 3.0), (3, None, 5.0)], "id int, code string, x double")
+    right = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 7)], "rcode string, v int")
+    plain = left.join(right, left["code"] == right["rcode"], "left").groupBy("v").agg(
+        F.sum("x").alias("s"), F.count(F.lit(1)).alias("n"))
+    side = weighted_distinct(right, match_key(right["rcode"]), "_k", "_w")
+    weighted = (
+        left.withColumn("_jk", spread_null_key(F.col("code"), F.col("id")))
+        .join(side, F.col("_jk") == side["_k"], "left")
+        .withColumn("_w", F.coalesce("_w", F.lit(1)))
+        .groupBy("v").agg(F.sum(F.col("x") * F.col("_w")).alias("s"), F.sum("_w").alias("n"))
+    )
+    assert sorted(map(tuple, weighted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert side.count() == 3
