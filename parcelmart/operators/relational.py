@@ -136,3 +136,14 @@ def weighted_distinct(df: DataFrame, key: Column, key_name: str, weight: str) ->
     """
     keyed = df.withColumn(key_name, key)
     return keyed.repartition(F.col(key_name)).groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias(weight))
+
+
+def distinct_by_key_partition(df: DataFrame, key: str) -> DataFrame:
+    """``df.distinct()`` computed inside a hash partitioning on ``key``.
+
+    For a join on ``key`` whose result only needs distinct rows (a later top-1
+    or DISTINCT ignores repeats), this removes duplicate right rows without an
+    extra shuffle: the rows are partitioned by the join key once, and the
+    de-duplication and the join both use that partitioning.
+    """
+    return df.repartition(F.col(key)).distinct()

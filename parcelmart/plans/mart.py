@@ -61,6 +61,7 @@ from parcelmart.functions.scalar import (
 from parcelmart.operators.relational import (
     anti,
     conditional_sum,
+    distinct_by_key_partition,
     match_key,
     max_per_key,
     spread_null_key,
@@ -552,7 +553,9 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
          "city_name", "date_local", "country_id", "taxi_type_id"],
     )
     b = anti(b, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
-    mm = named_mapping(d, t)
+    # The top-1 below ignores repeated rows, so repeated mapping rows are dropped
+    # (inside the join's partitioning on the code).
+    mm = distinct_by_key_partition(named_mapping(d, t), "_mm_code")
     bs = d["service_type_map"].select(F.col("booking_code").alias("_bs_code"), "service_type")
     bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"), "invoice_number")
     # Delivery rows with their info rows, joined on the delivery code before
