@@ -36,13 +36,17 @@ def bucketize(df: DataFrame, value: str, width=5, sort: bool = True) -> DataFram
     return out.orderBy(F.asc_nulls_last("bucket_floor")) if sort else out
 
 
-def union_distinct(frames: list[DataFrame]) -> DataFrame:
+def union_distinct(frames: list[DataFrame], partition_by: str | None = None) -> DataFrame:
     """UNION ALL of branches renamed to one schema, then DISTINCT.
 
     One final distinct is enough: partial aggregation removes duplicates inside
-    each branch's map tasks before the shuffle.
+    each branch's map tasks before the shuffle. With ``partition_by`` the
+    union is hash-partitioned on that column and de-duplicated inside those
+    partitions, so a following join or DISTINCT on that column needs no
+    further shuffle.
     """
-    return reduce(lambda a, b: a.unionByName(b), frames).distinct()
+    union = reduce(lambda a, b: a.unionByName(b), frames)
+    return distinct_by_key_partition(union, partition_by) if partition_by else union.distinct()
 
 
 def max_per_key(frames: list[DataFrame], key: str, value: str) -> DataFrame:

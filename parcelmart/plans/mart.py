@@ -150,13 +150,16 @@ def pax_fares(t: dict, p: MartParams) -> DataFrame:
 def booking_invoice(t: dict, p: MartParams) -> DataFrame:
     """B3 (steps 2-3): booking/delivery pairs from two sources joined to invoices from three."""
     db, ev = t["delivery_booking"], t["express_event"]
+    # Both sides are partitioned once by the delivery code; their DISTINCTs, the
+    # join and the final DISTINCT (which contains that column) all reuse it.
     pairs = union_distinct(
         [
             db.where(F.col("booking_code").isNotNull() & F.col("delivery_code").isNotNull() & (F.col("year") == p.year))
             .select("delivery_code", "booking_code"),
             ev.where(F.col("orderid").isNotNull() & F.col("bookingcode").isNotNull() & (F.col("year") == p.year))
             .select(F.col("orderid").alias("delivery_code"), F.col("bookingcode").alias("booking_code")),
-        ]
+        ],
+        partition_by="delivery_code",
     )
     invoices = union_distinct(
         [
@@ -168,7 +171,8 @@ def booking_invoice(t: dict, p: MartParams) -> DataFrame:
             db.where(F.col("year") == p.year).select(
                 "delivery_code", json_text("metadata", "$.merchantOrderID").alias("invoice_number")
             ),
-        ]
+        ],
+        partition_by="delivery_code",
     )
     # The source's LEFT JOIN is made inner by its WHERE on invoice_number.
     return (
