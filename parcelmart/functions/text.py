@@ -172,7 +172,7 @@ def word_search(df: DataFrame, text: str, keywords: list[str], id_col: str) -> D
     sort's range sampling reads those small rows instead of re-scanning the texts.
     """
     by_lower: dict[str, list[str]] = {}
-    for k in keywords:
+    for k in dict.fromkeys(keywords):  # each distinct keyword once, in the given order
         by_lower.setdefault(k.lower(), []).append(k)
     # A token has no whitespace and never ends in '.' or ',' after stripping.
     matchable = [k for k in by_lower if k and not re.search(r"\s", k) and k[-1] not in ".,"]
