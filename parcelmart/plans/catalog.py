@@ -9,7 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelmart.functions import arrays as _arr, text as _txt
+from parcelmart.functions import scalar as _x
+from parcelmart.functions.tokens import reset_url as _reset_url
 from parcelmart.operators import bucketize
+from parcelmart.operators.relational import anti as _anti, mark_hits as _mark_hits
+from parcelmart.plans import mart as _mart
+from parcelmart.plans.metrics import CANCELLED_STATES, RIDE_STATES
+from parcelmart.plans.runner import run as _run
+from parcelmart.sources.standins import STANDIN_FAMILY, standin_tables
 from parcelmart.sources.tables import load
 
 QUERIES: dict = {}
@@ -34,8 +42,6 @@ def bucket_histogram_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the booking mart over stand-in sources -------------------------------------------
 
-from parcelmart.plans import mart as _mart  # noqa: E402
-from parcelmart.sources.standins import STANDIN_FAMILY, standin_tables  # noqa: E402
 
 PARAMS = _mart.MartParams(type_family=STANDIN_FAMILY)
 
@@ -133,10 +139,6 @@ def first_attempt(spark, sf_dir):
 
 # --- single operators over the stand-in sources --------------------------------------
 
-from parcelmart.functions import scalar as _x  # noqa: E402
-from parcelmart.operators.relational import anti as _anti, mark_hits as _mark_hits  # noqa: E402
-from parcelmart.plans.metrics import CANCELLED_STATES, RIDE_STATES  # noqa: E402
-from parcelmart.plans.runner import run as _run  # noqa: E402
 
 _METRICS_FROM = PARAMS.metrics_from
 
@@ -350,8 +352,6 @@ def mart_copy(spark, sf_dir):
 
 # --- snippet operators over the provided tables ---------------------------------------
 
-from parcelmart.functions import arrays as _arr, text as _txt  # noqa: E402
-from parcelmart.functions.tokens import reset_url as _reset_url  # noqa: E402
 
 # The keywords searched for in ``word_search`` and the word looked up in ``list_index``.
 SEARCH_KEYWORDS = ["the", "Le", "und", "casino", "qui", "Ère"]
