@@ -23,23 +23,27 @@ def histogram_stream(spark: SparkSession, path: str, value: str, width=5, max_fi
     return bucketize(src, value, width=width, sort=False)
 
 
-def run_histogram_once(spark: SparkSession, path: str, value: str, width=5, table: str | None = None) -> DataFrame:
+def run_histogram_once(spark: SparkSession, path: str, value: str, width=5, out_dir: str | None = None) -> DataFrame:
     """Process every file present now (``availableNow``), then return the histogram.
 
-    Results land in an in-memory table (``table``); the stream's offsets and
-    aggregation state go under the shared checkpoint folder, so a restarted
-    query resumes instead of recounting.
+    After each micro-batch the complete histogram is written as parquet to
+    ``out_dir`` (``foreachBatch``; nothing is held in the driver) and the last
+    version is returned as a scan. Offsets and aggregation state go under the
+    shared checkpoint folder, so a restarted query resumes instead of recounting.
     """
-    table = table or f"histogram_{uuid.uuid4().hex[:8]}"
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{table}"
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-histogram-{uuid.uuid4().hex[:8]}"
+    out_dir = out_dir or f"{base}/out"
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out_dir)
+
     q = (
         histogram_stream(spark, path, value, width)
         .writeStream.outputMode("complete")
-        .format("memory")
-        .queryName(table)
-        .option("checkpointLocation", ckpt)
+        .foreachBatch(publish)
+        .option("checkpointLocation", f"{base}/state")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return spark.table(table).orderBy(F.asc_nulls_last("bucket_floor"))
+    return spark.read.parquet(out_dir).orderBy(F.asc_nulls_last("bucket_floor"))
