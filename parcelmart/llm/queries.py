@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm.common import table
+from parcelmart.llm.bpe import bpe_decode, bpe_encode
+from parcelmart.llm.common import small_batches, table
 from parcelmart.llm.decontaminate import contamination_digest, find_contamination
 from parcelmart.llm.line_dedup import dedup_lines
+from parcelmart.llm.pfor import read_token_files, write_token_files
+
+#: Public vocabulary files; on a cluster the same paths must hold on every machine.
+BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+LIBRARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +24,37 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def bpe_round_trip(docs: DataFrame) -> DataFrame:
+    """Encode every text, decode the ids again; counts and digests of both."""
+    small_batches(docs.sparkSession)
+    ids = docs.select("doc_id", bpe_encode("text", BPE_RANKS, PATTERN).alias("ids"))
+    both = ids.select("doc_id", "ids", bpe_decode("ids", BPE_RANKS, PATTERN).alias("decoded"))
+    return both.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every text and back."""
+    return bpe_round_trip(table(spark, sf_dir, "documents"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids written to patched frame-of-reference files by ascending doc_id, and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_token_files(write_token_files(docs, LIBRARY_FILE, PATTERN, end_id=2))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of ``benchmark`` found in ``documents``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return contamination_digest(find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op8_byte_bpe, op9_token_files, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
