@@ -10,6 +10,7 @@ from parcelmart.llm.bpe import bpe_decode, bpe_encode
 from parcelmart.llm.common import small_batches, table
 from parcelmart.llm.decontaminate import contamination_digest, find_contamination
 from parcelmart.llm.line_dedup import dedup_lines
+from parcelmart.llm.near_dedup import near_duplicates
 from parcelmart.llm.pfor import read_token_files, write_token_files
 
 #: Public vocabulary files; on a cluster the same paths must hold on every machine.
@@ -24,6 +25,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have similarity 0.75 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=75, size=5)
+
+
 def bpe_round_trip(docs: DataFrame) -> DataFrame:
     """Encode every text, decode the ids again; counts and digests of both."""
     small_batches(docs.sparkSession)
@@ -54,7 +60,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op8_byte_bpe, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op3_line_dedup, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
@@ -107,3 +113,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLE["op7_min_max_hash"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+    WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach(node, root) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node) USING (doc_id)
+"""
