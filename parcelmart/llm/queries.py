@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from parcelmart.llm.bpe import bpe_decode, bpe_encode
 from parcelmart.llm.common import small_batches, table
 from parcelmart.llm.decontaminate import contamination_digest, find_contamination
+from parcelmart.llm.histogram_sort import shard_by_bytes
 from parcelmart.llm.line_dedup import dedup_lines
 from parcelmart.llm.near_dedup import near_duplicates
 from parcelmart.llm.pfor import read_token_files, write_token_files
@@ -19,6 +20,16 @@ LIBRARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near-equal bytes."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    return shard_by_bytes(docs, n_shards=24, tolerance=0.01).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 and more code points in 5 and more documents stay in one of them."""
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=40, min_docs=5)
@@ -60,7 +71,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_dedup, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_histogram_sort, op3_line_dedup, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
