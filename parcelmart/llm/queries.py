@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmart.llm.bpe import bpe_decode, bpe_encode
-from parcelmart.llm.common import small_batches, table
+from parcelmart.llm.common import small_batches, stored, table
 from parcelmart.llm.decontaminate import contamination_digest, find_contamination
 from parcelmart.llm.histogram_sort import shard_by_bytes
 from parcelmart.llm.line_dedup import dedup_lines
 from parcelmart.llm.near_dedup import near_duplicates
 from parcelmart.llm.pfor import read_token_files, write_token_files
+from parcelmart.llm.topk_search import quantised, top_k
 
 #: Public vocabulary files; on a cluster the same paths must hold on every machine.
 BPE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -36,6 +37,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every vector whose id is divisible by 50."""
+    vectors = stored(quantised(table(spark, sf_dir, "embeddings"), scale=256), "vectors")
+    return top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
 def op7_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets have similarity 0.75 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), percent=75, size=5)
@@ -71,7 +78,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
-QUERIES = {f.__name__: f for f in (op2_histogram_sort, op3_line_dedup, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_histogram_sort, op3_line_dedup, op6_block_search, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
@@ -150,3 +157,17 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node) USING (doc_id)
 """
+
+ORACLE["op6_block_search"] = r"""
+WITH v AS (
+    SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
