@@ -13,6 +13,7 @@ from parcelmart.llm.histogram_sort import shard_by_bytes
 from parcelmart.llm.line_dedup import dedup_lines
 from parcelmart.llm.near_dedup import near_duplicates
 from parcelmart.llm.pfor import read_token_files, write_token_files
+from parcelmart.llm.secrets import labelled_samples, scan_secrets, secret_digest, train
 from parcelmart.llm.topk_search import quantised, top_k
 
 #: Public vocabulary files; on a cluster the same paths must hold on every machine.
@@ -37,6 +38,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets by fixed patterns and by Markov models of random strings and identifiers."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(labelled_samples(docs, table(spark, sf_dir, "pages")))
+    return secret_digest(scan_secrets(docs, model))
+
+
 def op6_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every vector whose id is divisible by 50."""
     vectors = stored(quantised(table(spark, sf_dir, "embeddings"), scale=256), "vectors")
@@ -78,7 +86,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
-QUERIES = {f.__name__: f for f in (op2_histogram_sort, op3_line_dedup, op6_block_search, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_histogram_sort, op3_line_dedup, op5_markov_secrets, op6_block_search, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
