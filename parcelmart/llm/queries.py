@@ -10,6 +10,8 @@ from parcelmart.llm.bpe import bpe_decode, bpe_encode
 from parcelmart.llm.common import small_batches, stored, table
 from parcelmart.llm.decontaminate import contamination_digest, find_contamination
 from parcelmart.llm.histogram_sort import shard_by_bytes
+from parcelmart.llm.license_texts import TEMPLATES
+from parcelmart.llm.licenses import scan_licenses
 from parcelmart.llm.line_dedup import dedup_lines
 from parcelmart.llm.near_dedup import near_duplicates
 from parcelmart.llm.pfor import read_token_files, write_token_files
@@ -38,6 +40,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License templates found in the documents, by MinHash bands and exact containment."""
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), TEMPLATES)
+
+
 def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets by fixed patterns and by Markov models of random strings and identifiers."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -86,7 +93,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
-QUERIES = {f.__name__: f for f in (op2_histogram_sort, op3_line_dedup, op5_markov_secrets, op6_block_search, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_histogram_sort, op3_line_dedup, op4_license_scan, op5_markov_secrets, op6_block_search, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
