@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelmart.llm.bpe import bpe_decode, bpe_encode
 from parcelmart.llm.common import small_batches, stored, table
+from parcelmart.llm.cotrain import score, train as train_quality
 from parcelmart.llm.decontaminate import contamination_digest, find_contamination
 from parcelmart.llm.histogram_sort import shard_by_bytes
 from parcelmart.llm.license_texts import TEMPLATES
@@ -24,6 +25,13 @@ LIBRARY_FILE = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
+def op1_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by co-trained text and metadata classifiers."""
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "text_score", "meta_score", "quality_score", "accepted")
+
+
 def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near-equal bytes."""
     docs = table(spark, sf_dir, "documents")
@@ -93,7 +101,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10))
 
 
-QUERIES = {f.__name__: f for f in (op2_histogram_sort, op3_line_dedup, op4_license_scan, op5_markov_secrets, op6_block_search, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_co_training, op2_histogram_sort, op3_line_dedup, op4_license_scan, op5_markov_secrets, op6_block_search, op7_min_max_hash, op8_byte_bpe, op9_token_files, op10_decontaminate)}
 
 ORACLE: dict[str, str] = {}
 
