@@ -168,7 +168,8 @@ def word_search(df: DataFrame, text: str, keywords: list[str], id_col: str) -> D
     One pass over each whole text and no join: a single regular expression
     over the lower-cased text finds every keyword occurrence at token
     boundaries; the distinct hits are exploded and mapped back to the keywords
-    as given. The hit rows are hash-shuffled before the global sort, so the
+    as given (the outer form of explode, as the inner one repeats the expression
+    in a filter below it). No keywords give no rows. The hit rows are hash-shuffled before the global sort, so the
     sort's range sampling reads those small rows instead of re-scanning the texts.
     """
     by_lower: dict[str, list[str]] = {}
@@ -182,11 +183,12 @@ def word_search(df: DataFrame, text: str, keywords: list[str], id_col: str) -> D
     if "" in by_lower:  # only a token made of '.'/',' normalises to ''
         empty = f"(?:^|{WHITESPACE_CLASS})[.,]+(?={WHITESPACE_CLASS}|\\z)"
         hits = F.when(lowered.rlike(empty), F.array_union(hits, F.array(F.lit("")))).otherwise(hits)
+    found = df.select(id_col, F.explode_outer(hits).alias("_hit")).where(F.col("_hit").isNotNull())
+    if not by_lower:
+        return found.select(id_col, F.col("_hit").alias("keyword"))
     originals = F.create_map(*[x for kl, ks in by_lower.items() for x in (F.lit(kl), F.array(*map(F.lit, ks)))])
     return (
-        df.select(id_col, hits.alias("_hits"))
-        .select(id_col, F.explode("_hits").alias("_hit"))
-        .select(id_col, F.explode(originals[F.col("_hit")]).alias("keyword"))
+        found.select(id_col, F.explode(originals[F.col("_hit")]).alias("keyword"))
         .repartition(id_col)
         .orderBy("keyword", id_col)
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelmart.functions.scalar import floor_bucket
@@ -75,29 +75,19 @@ def top1_per_group(
     descending: bool,
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """W1/W2 + F14 + O2: the first or last row per ``key`` by ``order``.
+    """W1/W2 + F14 + O2: the first or last row per ``key`` by ``order``, NULL ordering values last.
 
-    Same result as ``ROW_NUMBER() OVER (PARTITION BY key ORDER BY order) = 1``,
-    NULL ordering values last in both directions, but planned as an aggregate:
-    ``max_by``/``min_by`` combine map-side, so a hot key (for instance the NULL
-    group that collects every unmapped row) reaches the shuffle as one row per
-    map task instead of a single window partition holding a third of the data.
-
-    ``order`` must end in columns that make the ordering total; ties otherwise
-    resolve on the remaining columns of the row (deterministic, unlike
-    ROW_NUMBER over a non-unique order).
+    ``ROW_NUMBER() = 1`` over ``order`` and then the row's other columns, so the
+    order is total and a recomputed partition picks the same row. Spark keeps
+    one row per key of each map task before the shuffle (a partial group
+    limit), so a hot key (for instance the NULL group that collects every
+    unmapped row) reaches its partition as one row per map task.
     """
     columns = columns or [c for c in df.columns if c != key]
-    rest = [F.col(c) for c in columns]
-    if descending:
-        # NULL compares lowest inside a struct, so max() reaches it last.
-        ordering = F.struct(*order, *rest)
-        pick = F.max_by(F.struct(*rest), ordering)
-    else:
-        nulls_last = [o.isNull() for o in order]
-        ordering = F.struct(*[x for pair in zip(nulls_last, order) for x in pair], *rest)
-        pick = F.min_by(F.struct(*rest), ordering)
-    return df.groupBy(key).agg(pick.alias("_top")).select(key, *[F.col("_top")[c].alias(c) for c in columns])
+    rest = [F.desc_nulls_last(c) if descending else F.asc_nulls_first(c) for c in columns]
+    first = [o.desc_nulls_last() if descending else o.asc_nulls_last() for o in order]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*first, *rest)))
+    return ranked.where(F.col("_rank") == 1).select(key, *columns)
 
 
 def conditional_sum(pred: Column | None, measure: Column, otherwise_zero: bool = True) -> Column:

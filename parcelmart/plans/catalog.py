@@ -1,7 +1,8 @@
 """The registered queries: every operator run over the provided tables.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame. Column names
-match the oracle SQL in ``parcelmart.plans.oracle``.
+Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame; the mart's
+queries write the stand-in sources and upstream steps that they read, as stored
+tables, while they are built. Column names match the oracle SQL in ``parcelmart.plans.oracle``.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from parcelmart.operators import bucketize
 from parcelmart.operators.relational import anti as _anti, mark_hits as _mark_hits
 from parcelmart.plans import mart as _mart
 from parcelmart.plans.metrics import CANCELLED_STATES, RIDE_STATES
-from parcelmart.plans.runner import run as _run
-from parcelmart.sources.standins import STANDIN_FAMILY, standin_tables
+from parcelmart.plans.runner import DEPENDS_ON, STEPS, run as _run, upstream_of
+from parcelmart.session import delete_at_end
+from parcelmart.sources.sinks import new_run_dir, write_table
+from parcelmart.sources.standins import STANDIN_FAMILY, StandinTables, standin_tables
 from parcelmart.sources.tables import load
 
 QUERIES: dict = {}
@@ -45,36 +48,29 @@ def bucket_histogram_signed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PARAMS = _mart.MartParams(type_family=STANDIN_FAMILY)
 
-# Upstream steps a query reads are stored once per session and ``sf_dir``, as
-# the source pipeline stores every step and later steps read the stored table.
-_STORED: dict[tuple[str, str], tuple[str, dict]] = {}
+# Upstream steps that a query reads are stored, as the source pipeline stores
+# every step and later steps read the stored table: once for a state of the
+# sources, in a folder that goes with the application.
+_STORED: dict[int, tuple[str, StandinTables, dict]] = {}
 
 
-def _stored_steps(spark: SparkSession, sf_dir: str, t: dict, names: list[str]) -> dict:
-    from parcelmart.plans.runner import STEPS
-    from parcelmart.sources.sinks import new_run_dir, write_table
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    run_dir, stored = _STORED.setdefault(key, (new_run_dir(spark), {}))
+def _stored_steps(spark: SparkSession, t: StandinTables, names: list[str]) -> dict:
+    run_dir, _, stored = _STORED.setdefault(id(t), (new_run_dir(spark), t, {}))
     for name, step in STEPS:
         if name in names and name not in stored:
             stored[name] = write_table(step(t, PARAMS, stored), f"{run_dir}/{name}")
-    return stored
+            delete_at_end(spark, run_dir)
+    return dict(stored)
 
 
 def _mart_inputs(spark: SparkSession, sf_dir: str, reads: list[str]):
     """Sources plus the stored derived tables ``reads`` (and what they read)."""
-    from parcelmart.plans.runner import upstream_of
-
     t = standin_tables(spark, sf_dir)
-    names = upstream_of(reads) + [n for n in reads if n not in upstream_of(reads)]
-    return t, dict(_stored_steps(spark, sf_dir, t, names))
+    return t, _stored_steps(spark, t, [*upstream_of(reads), *reads])
 
 
 def _mart_outputs(spark: SparkSession, sf_dir: str, until: str):
     """Sources plus step ``until`` as a lazy plan over its stored inputs."""
-    from parcelmart.plans.runner import DEPENDS_ON, STEPS
-
     t, d = _mart_inputs(spark, sf_dir, DEPENDS_ON[until])
     d[until] = dict(STEPS)[until](t, PARAMS, d)
     return t, d

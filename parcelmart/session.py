@@ -9,6 +9,7 @@ is for tests and the bench only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,41 +27,46 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+# Shuffle partitions that AQE starts from on a cluster and then merges: it never
+# splits one that is too coarse. 100 TB need some hundred thousand.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-def configure(spark: SparkSession) -> SparkSession:
+
+def configure(spark: SparkSession, initial_partitions: int | None = None) -> SparkSession:
     """Apply the runtime settings above to an existing session."""
     for key, value in {**RESULT_SETTINGS, **SCALE_SETTINGS}.items():
         spark.conf.set(key, value)
+    if initial_partitions:
+        spark.conf.set(INITIAL_PARTITIONS, str(initial_partitions))
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for written intermediate tables.
+    """Shared folder for written intermediate tables, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``. Only a local-mode session with the
-    setting unset gets a fresh scratch folder (tests, bench); a cluster session
-    without a shared folder is an error, never a machine-local path.
+    Where it is unset, a session in one local process (tests, bench) gets a
+    scratch folder; any other session fails: executors do not share this
+    machine's folders.
     """
-    value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not value:
-        try:
-            value = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key raises in Spark Connect
-            value = None
+    value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
         return value
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    master = spark.conf.get("spark.master", "")
+    if not re.match(r"local($|\[)", master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     value = tempfile.mkdtemp(prefix="parcelmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", value)
-    spark.sparkContext.setCheckpointDir(value)
     return value
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have a folder of intermediate tables removed when the application ends."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "parcelmart") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
     builder = (

@@ -1,6 +1,6 @@
 """Reading the input tables, deriving the mart's source tables, writing outputs."""
 
-from parcelmart.sources.tables import TABLE_NAMES, load, load_all, register_views
-from parcelmart.sources.sinks import publish_run, write_table
+from parcelmart.sources.tables import TABLE_NAMES, load, register_views
+from parcelmart.sources.sinks import publish, published, write_table
 
-__all__ = ["TABLE_NAMES", "load", "load_all", "register_views", "write_table", "publish_run"]
+__all__ = ["TABLE_NAMES", "load", "register_views", "write_table", "publish", "published"]

@@ -3,9 +3,8 @@
 A step result is written once to a fresh folder of the current run and read
 back for the steps that use it. That cuts the lineage (a lost executor re-runs
 only the step being written) and never overwrites a path that is being read.
-Publishing a run writes nothing more: the run folder *is* the published
-version, so a staging copy followed by ``SELECT *`` into a second table (as the
-source mart does) is not repeated.
+``publish`` gives a table a stable name: numbered versions, of which readers
+take the newest complete one.
 """
 
 from __future__ import annotations
@@ -31,6 +30,41 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.parquet(path)
 
 
-def publish_run(spark: SparkSession, run_dir: str, names: list[str]) -> dict[str, DataFrame]:
-    """Scans of the tables a finished run wrote."""
-    return {name: spark.read.parquet(f"{run_dir}/{name}") for name in names}
+def publish(df: DataFrame, base: str, name: str, keep: int = 2) -> DataFrame:
+    """Write ``df`` as the newest version of the table ``name`` under ``base`` and return it.
+
+    Readers take the newest complete version (``published``), so they see the
+    old rows until the write has committed and the new ones from then on. The
+    newest ``keep`` versions stay; older ones are removed after the switch.
+    """
+    spark, folder = df.sparkSession, f"{base.rstrip('/')}/{name}"
+    number = max(_versions(spark, folder, complete=False), default=0) + 1
+    df.write.parquet(f"{folder}/v{number:06d}")
+    for old in _versions(spark, folder)[:-keep]:
+        fs, place = _place(spark, f"{folder}/v{old:06d}")
+        fs.delete(place, True)
+    return published(spark, base, name)
+
+
+def published(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """The newest complete version of a published table."""
+    folder = f"{base.rstrip('/')}/{name}"
+    versions = _versions(spark, folder)
+    if not versions:
+        raise LookupError(f"nothing is published as {name} under {base}")
+    return spark.read.parquet(f"{folder}/v{versions[-1]:06d}")
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _versions(spark: SparkSession, folder: str, complete: bool = True) -> list[int]:
+    """Version numbers in ``folder``, ascending; ``complete``: those whose write has committed."""
+    fs, place = _place(spark, folder)
+    if not fs.exists(place):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(place)]
+    names = [n for n in names if n[0] == "v" and n[1:].isdigit()]
+    return sorted(int(n[1:]) for n in names if not complete or fs.exists(_place(spark, f"{folder}/{n}/_SUCCESS")[1]))

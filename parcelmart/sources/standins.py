@@ -19,12 +19,14 @@ Rules that keep the comparison exact:
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelmart.session import checkpoint_dir
-from parcelmart.sources.tables import register_views
+from parcelmart.session import checkpoint_dir, delete_at_end
+from parcelmart.sources.tables import listing, load
 
 # Shared pieces ------------------------------------------------------------------
 
@@ -56,7 +58,9 @@ SELECT o.o_orderkey AS id,
        o.o_orderstatus AS orderstatus,
        o.o_orderpriority AS orderpriority,
        o.o_totalprice AS totalprice,
-       CASE WHEN o.o_orderkey % 1000 = 998 THEN 'PARTNER' || CAST(o.o_orderkey AS STRING)
+       CASE WHEN o.o_orderkey % 307 = 11 THEN NULL
+            WHEN o.o_orderkey % 307 = 12 THEN ''
+            WHEN o.o_orderkey % 1000 = 998 THEN 'PARTNER' || CAST(o.o_orderkey AS STRING)
             WHEN o.o_orderkey % 2 = 0
               THEN 'PARTNER-' || lpad(CAST(o.o_custkey AS STRING), 8, '0') || '-' || CAST(o.o_orderkey AS STRING)
             ELSE 'APP-' || CAST(o.o_orderkey AS STRING) END AS code,
@@ -102,8 +106,9 @@ SELECT k.id,
 FROM bk_keys k
 """
 
-# Vehicle types with validity ranges: ids 0-5 twice (open start; mid-year on),
-# ids 0-1 a third time with an open end. Family 'Courier' for ids 0-3.
+# Vehicle types with validity ranges, one for each nation: ids 0-5 with an open
+# start, again from mid-year on, and from March on with an open end. Family
+# 'Courier' for ids 0-3.
 STANDIN_SQL["taxi_types"] = """
 SELECT CAST(n_nationkey % 6 AS INT) AS id,
        n_nationkey AS country_id,
@@ -117,7 +122,6 @@ SELECT CAST(n_nationkey % 6 AS INT) AS id,
             ELSE NULL END AS end_at,
        CASE WHEN n_nationkey % 6 < 4 THEN 'Courier' ELSE 'Ride' END AS taxi_type_simple
 FROM nation
-WHERE n_nationkey < 14
 """
 
 STANDIN_SQL["merchants"] = """
@@ -156,7 +160,7 @@ FROM bk_keys k
 WHERE k.id % 2 = 0
 """
 
-# Up to two quotes per delivery (line 1 and line 2), some malformed.
+# A quote for every line of the order, some malformed.
 STANDIN_SQL["delivery_info"] = """
 SELECT 'D' || CAST(l.l_orderkey AS STRING) AS delivery_code,
        CASE WHEN l.l_linenumber = 2 AND l.l_partkey % 10 = 0 THEN '{"amount": "abc"}'
@@ -170,9 +174,8 @@ SELECT 'D' || CAST(l.l_orderkey AS STRING) AS delivery_code,
        CASE WHEN l.l_orderkey % 9 = 0 AND l.l_linenumber = 2 THEN '2017' ELSE '2018' END AS year,
        CASE WHEN l.l_orderkey % 2 = 0 THEN CAST(month(l.l_shipdate) AS STRING)
             ELSE lpad(CAST(month(l.l_shipdate) AS STRING), 2, '0') END AS month,
-       CAST(least(day(l.l_shipdate), 28) AS STRING) AS day
+       CASE WHEN month(l.l_shipdate) = 2 AND day(l.l_shipdate) = 29 THEN '28' ELSE CAST(day(l.l_shipdate) AS STRING) END AS day
 FROM lineitem l
-WHERE l.l_linenumber <= 2
 """
 
 STANDIN_SQL["express_event"] = """
@@ -249,7 +252,6 @@ SELECT k.code AS booking_code,
        k.date_local AS date_partition
 FROM lineitem l
 JOIN bk_keys k ON k.id = l.l_orderkey
-WHERE l.l_linenumber <= 3
 """
 
 _AREA = """CASE (s_suppkey % 65) % 3 WHEN 0 THEN 'Harbour'
@@ -314,47 +316,54 @@ def standin_ctes(names=None) -> str:
     return "WITH " + ",\n".join(parts)
 
 
-_WRITTEN: dict[tuple[str, str], dict[str, DataFrame]] = {}
+# The provided tables that the derivations read.
+BASE_TABLES = ("orders", "customer", "nation", "lineitem", "events", "supplier")
 
 
-def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    register_views(spark, sf_dir, names=["orders", "customer", "nation", "lineitem", "events", "supplier"])
-    out = {}
-    for name, sql in STANDIN_SQL.items():
-        df = spark.sql(sql)
-        df.createOrReplaceTempView(name)
-        out[name] = df
-    return out
+class StandinTables(Mapping):
+    """The mart's sources over one folder of provided tables, each derived when first asked for.
 
-
-def standin_tables(spark: SparkSession, sf_dir: str, materialize: bool = True) -> dict[str, DataFrame]:
-    """The stand-in sources over ``sf_dir``'s tables.
-
-    With ``materialize`` (the default) they are derived once per session and
-    ``sf_dir``, written as parquet under the shared checkpoint folder and
-    returned as scans -- like the stored source tables the mart reads in
-    production, with real size statistics for the planner. ``bk_keys`` is
-    written first so the other derivations read it instead of repeating the
-    orders/customer/nation join. Without ``materialize`` the derivations are
-    returned as lazy plans (the definitions reference each other by temp-view
-    name; ``spark.sql`` binds them when called).
+    A derived table is written once under the shared folder and read as a scan,
+    like the stored source tables that the mart reads in production, with real
+    sizes for the planner.
     """
-    if not materialize:
-        out = _derive(spark, sf_dir)
-        return {name: out[name] for name in MART_SOURCES}
-    key = (spark.sparkContext.applicationId, sf_dir)
-    scans = _WRITTEN.get(key)
-    if scans is None:
-        base = f"{checkpoint_dir(spark).rstrip('/')}/parcelmart-standins-{uuid.uuid4().hex[:12]}"
-        register_views(spark, sf_dir, names=["orders", "customer", "nation", "lineitem", "events", "supplier"])
-        files = max(1, spark.sparkContext.defaultParallelism)
-        for name, sql in STANDIN_SQL.items():
-            # Test fixtures: spread each table over one file per core so scans are parallel.
-            writer = spark.sql(sql).repartition(files).write.mode("overwrite")
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self.base = f"{checkpoint_dir(spark).rstrip('/')}/parcelmart-standins-{uuid.uuid4().hex[:12]}"
+        self.made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in STANDIN_SQL:
+            raise KeyError(name)
+        if name not in self.made:
+            sql = STANDIN_SQL[name]
+            for other in (*BASE_TABLES, "bk_keys"):
+                if other != name and re.search(rf"\b(?:FROM|JOIN) {other}\b", sql):
+                    source = self["bk_keys"] if other == "bk_keys" else load(self.spark, self.sf_dir, other)
+                    source.createOrReplaceTempView(other)
+            writer = self.spark.sql(sql).write
             if name in PARTITIONED_BY_YEAR:
                 writer = writer.partitionBy("year")
-            writer.parquet(f"{base}/{name}")
-            spark.read.parquet(f"{base}/{name}").createOrReplaceTempView(name)
-        # One scan object per table and session: later queries skip file listing.
-        scans = _WRITTEN[key] = {name: spark.read.parquet(f"{base}/{name}") for name in MART_SOURCES}
-    return dict(scans)
+            writer.parquet(f"{self.base}/{name}")
+            delete_at_end(self.spark, self.base)
+            self.made[name] = self.spark.read.parquet(f"{self.base}/{name}")
+        return self.made[name]
+
+    def __iter__(self):
+        return iter(MART_SOURCES)
+
+    def __len__(self) -> int:
+        return len(MART_SOURCES)
+
+
+_LATEST: dict[tuple[str, str], tuple[tuple, StandinTables]] = {}
+
+
+def standin_tables(spark: SparkSession, sf_dir: str) -> StandinTables:
+    """The stand-in sources; made anew when a file of the provided tables has come, gone or changed."""
+    key, now = (spark.sparkContext.applicationId, sf_dir), listing(spark, sf_dir, BASE_TABLES)
+    known = _LATEST.get(key)
+    if known is None or known[0] != now:
+        known = _LATEST[key] = (now, StandinTables(spark, sf_dir))
+    return known[1]

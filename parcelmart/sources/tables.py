@@ -19,23 +19,21 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one table; the alias lets joins qualify columns as ``name.col``.
+    """Scan one table as it is now; the alias lets joins qualify columns as ``name.col``."""
+    return spark.read.parquet(table_path(sf_dir, name)).alias(name)
 
-    The scan object (file listing, footer schema) is made once per session and
-    path, like a catalog table; every query still reads the files.
-    """
-    key = (spark.sparkContext.applicationId, table_path(sf_dir, name))
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(key[1]).alias(name)
-    return _SCANS[key]
 
-
-def load_all(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> dict[str, DataFrame]:
-    return {name: load(spark, sf_dir, name) for name in names}
+def listing(spark: SparkSession, sf_dir: str, names) -> tuple:
+    """The files of some tables (path, bytes, time of change): what a result made from them depends on."""
+    jvm, out = spark.sparkContext._jvm, []
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLE_NAMES, prefix: str = "") -> None:

@@ -7,13 +7,14 @@ bucket, so the state is bounded by the number of buckets, not by the rows).
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelmart.operators.relational import bucketize
 from parcelmart.session import checkpoint_dir
+from parcelmart.sources.sinks import publish, published
 
 
 def histogram_stream(spark: SparkSession, path: str, value: str, width=5, max_files_per_trigger: int = 64) -> DataFrame:
@@ -23,27 +24,28 @@ def histogram_stream(spark: SparkSession, path: str, value: str, width=5, max_fi
     return bucketize(src, value, width=width, sort=False)
 
 
-def run_histogram_once(spark: SparkSession, path: str, value: str, width=5, out_dir: str | None = None) -> DataFrame:
-    """Process every file present now (``availableNow``), then return the histogram.
+def run_histogram_once(spark: SparkSession, path: str, value: str, width=5, state_dir: str | None = None) -> DataFrame:
+    """Process the files that arrived since the last call (``availableNow``), then return the histogram.
 
-    After each micro-batch the complete histogram is written as parquet to
-    ``out_dir`` (``foreachBatch``; nothing is held in the driver) and the last
-    version is returned as a scan. Offsets and aggregation state go under the
-    shared checkpoint folder, so a restarted query resumes instead of recounting.
+    Offsets and aggregation state stay under ``state_dir`` (by default a folder
+    of the shared checkpoint folder named by the arguments), so a call resumes
+    where the last one, or a failed one, ended. Every micro-batch publishes the
+    complete histogram as a new version; readers never see a half-written one.
     """
-    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-histogram-{uuid.uuid4().hex[:8]}"
-    out_dir = out_dir or f"{base}/out"
+    if state_dir is None:
+        name = hashlib.sha256(repr((path, value, str(width))).encode()).hexdigest()[:16]
+        state_dir = f"{checkpoint_dir(spark).rstrip('/')}/stream-histogram-{name}"
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_dir)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        publish(batch, state_dir, "histogram")
 
     q = (
         histogram_stream(spark, path, value, width)
         .writeStream.outputMode("complete")
-        .foreachBatch(publish)
-        .option("checkpointLocation", f"{base}/state")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{state_dir}/state")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out_dir).orderBy(F.asc_nulls_last("bucket_floor"))
+    return published(spark, state_dir, "histogram").orderBy(F.asc_nulls_last("bucket_floor"))
