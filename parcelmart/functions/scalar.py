@@ -14,6 +14,8 @@ from __future__ import annotations
 import datetime as _dt
 import re
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -158,5 +160,17 @@ def per_rate(amount, rate) -> Column:
 
 
 def floor_bucket(x, width) -> Column:
-    """Lower edge of the width-``width`` bucket holding ``x`` (toward -inf)."""
-    return F.floor(_col(x) / F.lit(width)) * F.lit(width)
+    """Lower edge of the width-``width`` bucket holding ``x`` (toward -inf).
+
+    A fractional width counts in decimals, so the edges are its exact multiples.
+    """
+    exact = Decimal(str(width))
+    if exact == exact.to_integral_value():
+        return F.floor(_col(x) / F.lit(width)) * F.lit(width)
+    places = -exact.as_tuple().exponent
+    return (F.floor(_col(x).cast("decimal(28,10)") / F.lit(exact)) * F.lit(exact)).cast(f"decimal(28,{places})")
+
+
+def minus_interval(ts, amount, unit: str) -> Column:
+    """``ts - INTERVAL amount unit`` for columns; ``unit``: days, hours, mins or secs."""
+    return _col(ts) - F.make_dt_interval(**{unit: _col(amount)})

@@ -6,6 +6,7 @@ nothing is collected to the driver.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,14 @@ from pyspark.sql import functions as F
 from parcelmart.functions.scalar import floor_bucket
 
 
+def _upper(width) -> Column:
+    """The bucket's upper edge, written with as many decimals as the width."""
+    exact = Decimal(str(width))
+    if exact == exact.to_integral_value():
+        return F.col("bucket_floor") + F.lit(width)
+    return (F.col("bucket_floor") + F.lit(exact)).cast(f"decimal(28,{-exact.as_tuple().exponent})")
+
+
 def bucketize(df: DataFrame, value: str, width=5, sort: bool = True) -> DataFrame:
     """B1: fixed-width histogram ``bucket_floor, bucket_name, count``.
 
@@ -28,7 +37,7 @@ def bucketize(df: DataFrame, value: str, width=5, sort: bool = True) -> DataFram
         .select(
             "bucket_floor",
             F.concat(
-                F.col("bucket_floor").cast("string"), F.lit(" to "), (F.col("bucket_floor") + F.lit(width)).cast("string")
+                F.col("bucket_floor").cast("string"), F.lit(" to "), _upper(width).cast("string")
             ).alias("bucket_name"),
             "count",
         )
@@ -36,17 +45,13 @@ def bucketize(df: DataFrame, value: str, width=5, sort: bool = True) -> DataFram
     return out.orderBy(F.asc_nulls_last("bucket_floor")) if sort else out
 
 
-def union_distinct(frames: list[DataFrame], partition_by: str | None = None) -> DataFrame:
+def union_distinct(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL of branches renamed to one schema, then DISTINCT.
 
-    One final distinct is enough: partial aggregation removes duplicates inside
-    each branch's map tasks before the shuffle. With ``partition_by`` the
-    union is hash-partitioned on that column and de-duplicated inside those
-    partitions, so a following join or DISTINCT on that column needs no
-    further shuffle.
+    One final distinct is enough: its map-side part removes duplicates inside
+    each branch's tasks before the shuffle.
     """
-    union = reduce(lambda a, b: a.unionByName(b), frames)
-    return distinct_by_key_partition(union, partition_by) if partition_by else union.distinct()
+    return reduce(lambda a, b: a.unionByName(b), frames).distinct()
 
 
 def max_per_key(frames: list[DataFrame], key: str, value: str) -> DataFrame:
@@ -103,41 +108,22 @@ def conditional_sum(pred: Column | None, measure: Column, otherwise_zero: bool =
 
 
 def spread_null_key(key: Column, salt: Column) -> Column:
-    """Join key for the preserved side of a chain of left/anti joins.
-
-    Equal to ``match_key(key)`` when ``key`` is set. For a NULL ``key`` it is a
-    value no ``match_key`` produces, spread by ``salt``: such rows still match
-    nothing (NULL keys never match), but they no longer hash to one shuffle
-    partition -- a hot NULL group that AQE's skew split cannot reach once the
-    joins are chained on one partitioning.
-    """
-    return F.struct(key.isNull().alias("n"), F.coalesce(key, salt.cast("string")).alias("k"))
-
-
-def match_key(key: Column) -> Column:
-    """Join key for the other side of ``spread_null_key``."""
-    return F.struct(F.lit(False).alias("n"), key.cast("string").alias("k"))
-
-
-def weighted_distinct(df: DataFrame, key: Column, key_name: str, weight: str) -> DataFrame:
-    """Distinct rows of ``df`` with their multiplicity in ``weight``, plus ``key``.
+    """Join key for the preserved side of a chain of left/anti joins on a text key.
 
-    For a left join, identical right rows give identical joined rows, so a
-    right side can be replaced by its distinct rows and the count folded into a
-    weight of the result. The rows are hash-partitioned by the join key first
-    (the shuffle the join needs anyway) and counted inside those partitions, so
-    the collapse adds no shuffle.
+    The key itself, or for a NULL one a text that no key holds (it starts with
+    a NUL character), spread by ``salt``: such rows still match nothing, but
+    they do not hash to one shuffle partition -- a hot NULL group that AQE's
+    skew split cannot reach once the joins are chained on one partitioning. The
+    other side joins with its plain key, so Spark drops its NULL keys at the scan.
     """
-    keyed = df.withColumn(key_name, key)
-    return keyed.repartition(F.col(key_name)).groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias(weight))
+    return F.coalesce(key, F.concat(F.lit("\0"), salt.cast("string")))
 
 
-def distinct_by_key_partition(df: DataFrame, key: str) -> DataFrame:
-    """``df.distinct()`` computed inside a hash partitioning on ``key``.
+def weighted_distinct(df: DataFrame, key: str, weight: str) -> DataFrame:
+    """Distinct rows of ``df`` with their multiplicity in ``weight``; rows with a NULL ``key`` go.
 
-    For a join on ``key`` whose result only needs distinct rows (a later top-1
-    or DISTINCT ignores repeats), this removes duplicate right rows without an
-    extra shuffle: the rows are partitioned by the join key once, and the
-    de-duplication and the join both use that partitioning.
+    For a left join on ``key``, identical right rows give identical joined rows,
+    so a right side can be replaced by its distinct rows and the count folded
+    into a weight of the result. Counts are combined map-side.
     """
-    return df.repartition(F.col(key)).distinct()
+    return df.where(F.col(key).isNotNull()).groupBy(*df.columns).agg(F.count(F.lit(1)).alias(weight))

@@ -121,15 +121,14 @@ def distinct_counts(spark, sf_dir):
 @query
 def last_attempt(spark, sf_dir):
     """Latest attempt per invoice."""
-    t, d = _mart_inputs(spark, sf_dir, ["express_taxi_types", "merchant_mapping", "service_type_map",
-                                        "booking_invoice"])
+    t, d = _mart_inputs(spark, sf_dir, ["merchant_mapping", "service_type_map", "partner_invoices"])
     return _mart.last_attempts(t, PARAMS, d)
 
 
 @query
 def first_attempt(spark, sf_dir):
     """Earliest attempt per invoice."""
-    t, d = _mart_inputs(spark, sf_dir, ["express_taxi_types", "booking_invoice"])
+    t, d = _mart_inputs(spark, sf_dir, ["partner_invoices"])
     return _mart.first_attempts(t, PARAMS, d)
 
 
@@ -456,3 +455,70 @@ def token_url(spark, sf_dir):
     """A reset URL with a fresh URL-safe token per customer (no oracle)."""
     c = load(spark, sf_dir, "customer")
     return c.select("c_custkey", _reset_url("https://example.invalid/reset=", "c_custkey").alias("url"))
+
+
+@query
+def token_shape(spark, sf_dir):
+    """What is fixed about a random reset URL: its start, the token's length and letters, no token twice."""
+    c = load(spark, sf_dir, "customer")
+    start = "https://example.invalid/reset="
+    # The tokens are random: written once, so that the shape and the counts speak of the same ones.
+    made = c.select("c_custkey", _reset_url(start, "c_custkey").alias("url"))
+    folder = new_run_dir(spark)
+    delete_at_end(spark, folder)
+    made = write_table(made, f"{folder}/tokens").withColumn("token", F.expr(f"substr(url, {len(start) + 1})"))
+    seen = made.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return made.join(seen, "token").select(
+        "c_custkey", F.col("url").startswith(start).alias("starts_right"), F.length("token").alias("token_length"),
+        F.col("token").rlike("^[A-Za-z0-9_-]+$").alias("safe_letters"), (F.col("n") == 1).alias("all_distinct"),
+    )
+
+
+@query
+def bucket_histogram_quarter(spark, sf_dir):
+    """B1 with a fractional width: quarters of account balances."""
+    return bucketize(load(spark, sf_dir, "customer"), "c_acctbal", width=0.25)
+
+
+@query
+def bucket_histogram_tenth(spark, sf_dir):
+    """B1 with width 0.1, which no double holds exactly."""
+    return bucketize(load(spark, sf_dir, "lineitem"), "l_discount", width=0.1)
+
+
+@query
+def merchant_code_join(spark, sf_dir):
+    """Left join of merchants on the number inside the booking code, ``substr(code, 9, 8)``."""
+    t = _src(spark, sf_dir)
+    bk = t["bookings"].where(_x.has_prefix("code", _mart.PARTNER)).select("id", "code", F.substring("code", 9, 8).alias("_number"))
+    m = t["merchants"].select(F.lpad(F.col("merchant_id").cast("string"), 8, "0").alias("_m"), "merchant_name")
+    return bk.join(m, bk["_number"] == m["_m"], "left").select("id", "code", "merchant_name")
+
+
+@query
+def map_entry_lines(spark, sf_dir):
+    """Y5 over a real map: a ``k = v`` line for each entry of every event's properties."""
+    e = load(spark, sf_dir, "events")
+    entries = e.select("event_id", F.explode_outer(F.from_json("props", "map<string,string>")).alias("k", "v")).where("k IS NOT NULL")
+    return entries.select("event_id", _txt.key_value_line("k", "v").alias("line"))
+
+
+@query
+def any_multiple_list(spark, sf_dir):
+    """Y8 over a list: do a vector's components, in whole hundredths, hold a multiple of seven."""
+    e = load(spark, sf_dir, "embeddings")
+    numbers = F.transform("embedding", lambda x: F.floor(x * 100))
+    return e.select("vec_id", _arr.any_multiple(numbers, 7).alias("has_multiple"))
+
+
+@query
+def area_columns(spark, sf_dir):
+    """Every column of the area map, with the centroid."""
+    return _mart.area_lookup(_src(spark, sf_dir))
+
+
+@query
+def timestamp_minus_interval(spark, sf_dir):
+    """A timestamp column less an interval column."""
+    e = load(spark, sf_dir, "events")
+    return e.select("event_id", _x.minus_interval("ts", (F.col("event_id") % 90).cast("int"), "mins").alias("earlier"))

@@ -21,9 +21,8 @@ Rewrites against the source text (same results, cheaper plans):
   de-duplication are dropped (they can only repeat rows);
 * ``DISTINCT`` inside ``UNION ALL`` branches is dropped when a later
   ``DISTINCT`` or ``MAX`` absorbs it;
-* ROW_NUMBER()=1 per invoice is a ``max_by``/``min_by`` aggregate, which
-  combines map-side (see ``operators.relational.top1_per_group``); its ties
-  break on every column, so the source's DISTINCT before it is not needed;
+* ROW_NUMBER()=1 per invoice breaks its ties on every column, so the source's
+  DISTINCT before it is not needed (see ``operators.relational.top1_per_group``);
 * joins on other keys than the booking code run while each booking is still
   one row, and tables keyed by another code (merchants, delivery info) are
   joined to their mapping first, so the fanned-out rows are never re-shuffled.
@@ -61,8 +60,6 @@ from parcelmart.functions.scalar import (
 from parcelmart.operators.relational import (
     anti,
     conditional_sum,
-    distinct_by_key_partition,
-    match_key,
     max_per_key,
     spread_null_key,
     top1_per_group,
@@ -127,7 +124,7 @@ def pax_fares(t: dict, p: MartParams) -> DataFrame:
         (date_from_parts("year", "month", "day") >= F.lit(dt.date.fromisoformat(p.fares_from)))
         & not_blank("delivery_code")
         & (F.col("year") == p.year)
-    ).select("delivery_code", "quote")
+    ).select("delivery_code", json_double("quote", "$.amount").alias("amount"))
     db = t["delivery_booking"].where(not_blank("booking_code") & (F.col("year") == p.year)).select(
         "delivery_code", "booking_code"
     )
@@ -139,7 +136,7 @@ def pax_fares(t: dict, p: MartParams) -> DataFrame:
         .join(pb, db["booking_code"] == pb["code"])
         .select(
             "booking_code",
-            F.coalesce(json_double("quote", "$.amount"), F.col("fare"), F.lit(0.0)).alias("pax_Fare"),
+            F.coalesce(F.col("amount"), F.col("fare"), F.lit(0.0)).alias("pax_Fare"),
         )
         .distinct()
     )
@@ -150,16 +147,13 @@ def pax_fares(t: dict, p: MartParams) -> DataFrame:
 def booking_invoice(t: dict, p: MartParams) -> DataFrame:
     """B3 (steps 2-3): booking/delivery pairs from two sources joined to invoices from three."""
     db, ev = t["delivery_booking"], t["express_event"]
-    # Both sides are partitioned once by the delivery code; their DISTINCTs, the
-    # join and the final DISTINCT (which contains that column) all reuse it.
     pairs = union_distinct(
         [
             db.where(F.col("booking_code").isNotNull() & F.col("delivery_code").isNotNull() & (F.col("year") == p.year))
             .select("delivery_code", "booking_code"),
             ev.where(F.col("orderid").isNotNull() & F.col("bookingcode").isNotNull() & (F.col("year") == p.year))
             .select(F.col("orderid").alias("delivery_code"), F.col("bookingcode").alias("booking_code")),
-        ],
-        partition_by="delivery_code",
+        ]
     )
     invoices = union_distinct(
         [
@@ -171,8 +165,7 @@ def booking_invoice(t: dict, p: MartParams) -> DataFrame:
             db.where(F.col("year") == p.year).select(
                 "delivery_code", json_text("metadata", "$.merchantOrderID").alias("invoice_number")
             ),
-        ],
-        partition_by="delivery_code",
+        ]
     )
     # The source's LEFT JOIN is made inner by its WHERE on invoice_number.
     return (
@@ -187,16 +180,15 @@ def booking_invoice(t: dict, p: MartParams) -> DataFrame:
 
 def service_type_map(t: dict, p: MartParams, express_types: DataFrame) -> DataFrame:
     """B4 (steps 4-5): largest service-type code per booking over three sources."""
-    job_type = json_int("metadata", "$.expressMeta.jobCard.jobType")
-    bs = t["booking_service"]
-    from_meta = (
-        bs.join(
-            express_types.select("taxi_type_id"),
-            (bs["vehicle_type_id"] == express_types["taxi_type_id"])
-            & (date_from_parts(bs["year"], bs["month"], bs["day"]) > F.lit(dt.date.fromisoformat(p.service_after)))
-            & job_type.isNotNull(),
-        )
-        .select("booking_code", job_type.alias("service_type"))
+    # Parsed once at the scan; the metadata text goes no further.
+    bs = (
+        t["booking_service"]
+        .where(date_from_parts("year", "month", "day") > F.lit(dt.date.fromisoformat(p.service_after)))
+        .select("booking_code", "vehicle_type_id", json_int("metadata", "$.expressMeta.jobCard.jobType").alias("service_type"))
+        .where(F.col("service_type").isNotNull())
+    )
+    from_meta = bs.join(express_types, bs["vehicle_type_id"] == express_types["taxi_type_id"], "left_semi").select(
+        "booking_code", "service_type"
     )
     from_delivery = t["delivery_booking"].where(F.col("year") == p.year).select("booking_code", "service_type")
     label = F.col("servicetype")
@@ -278,7 +270,7 @@ def area_lookup(t: dict) -> DataFrame:
         .agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
     )
     return am.join(centroids, ["country_id", "city_id", "area"], "left").select(
-        am["country_id"], am["city_id"], am["area"], am["geohash"], "latitude", "longitude"
+        *[am[c] for c in am.columns if c not in ("latitude", "longitude")], centroids["latitude"], centroids["longitude"]
     )
 
 
@@ -355,8 +347,7 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
 
     # Bookings with a NULL code match nothing below; their key is spread by id.
     rows = rows.withColumn("_jk", spread_null_key(F.col("code"), F.col("id")))
-    rows = anti(rows, t["test_bookings"].select(F.col("code").alias("_tb_code")),
-                F.col("_jk") == match_key(F.col("_tb_code")))
+    rows = anti(rows, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("_jk") == F.col("_tb_code"))
     mm = named_mapping(d, t)
     bs = d["service_type_map"].select(F.col("booking_code").alias("_bs_code"), "service_type")
     bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"))
@@ -385,17 +376,17 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
     # Sides unique per booking join as they are; sides that may hold identical
     # rows are collapsed to distinct rows with a count that joins the weight.
     for right, key in ((bs, "_bs_code"), (pf, "_pf_code"), (incentive, "_inc_code")):
-        rows = rows.join(right, F.col("_jk") == match_key(right[key]), "left")
+        rows = rows.join(right, F.col("_jk") == right[key], "left")
     weights = []
     for right, key, tag in ((mm, "_mm_code", "mm"), (bi, "_bi_code", "bi"), (rec, "_rec_code", "rec"),
                             (promo, "_promo_code", "promo")):
-        side = weighted_distinct(right, match_key(right[key]), f"_k_{tag}", f"_w_{tag}")
-        rows = rows.join(side, F.col("_jk") == side[f"_k_{tag}"], "left")
+        side = weighted_distinct(right, key, f"_w_{tag}")
+        rows = rows.join(side, F.col("_jk") == side[key], "left")
         weights.append(F.coalesce(F.col(f"_w_{tag}"), F.lit(1)))
-    cm_side = weighted_distinct(cmet, match_key(cmet["_cm_code"]), "_k_cm", "_w_cm")
+    cm_side = weighted_distinct(cmet, "_cm_code", "_w_cm")
     # Residual (not a join key): keeps this join on the code partitioning.
     same_day = F.coalesce(F.col("partition_date") == cm_side["_cm_pdate"], F.lit(False))
-    rows = rows.join(cm_side, (F.col("_jk") == cm_side["_k_cm"]) & same_day, "left")
+    rows = rows.join(cm_side, (F.col("_jk") == cm_side["_cm_code"]) & same_day, "left")
     weights.append(F.coalesce(F.col("_w_cm"), F.lit(1)))
 
     for w in weights:
@@ -508,6 +499,21 @@ def _delivered(t: dict, p: MartParams) -> DataFrame:
     return db.join(info, db["delivery_code"] == info["_i_code"], "left_semi").select("booking_code")
 
 
+def partner_invoices(t: dict, p: MartParams, d: dict) -> DataFrame:
+    """Partner bookings with their invoices (a row each, NULL without one): read by steps 8 and 10."""
+    b = _partner_bookings(
+        t, p, d["express_taxi_types"],
+        ["code", "state", "created_at", "distance", "fare", "commission", "pick_up_time_local", "country_name",
+         "city_name", "date_local", "country_id", "taxi_type_id", "hour_local", "is_unique_booking"],
+    )
+    bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"), "invoice_number")
+    return b.join(bi, F.col("code") == bi["_bi_code"], "left").drop("_bi_code")
+
+
+def _without_tests(df: DataFrame, t: dict) -> DataFrame:
+    return anti(df, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
+
+
 def attempts_per_invoice(t: dict, p: MartParams, d: dict) -> DataFrame:
     """B8 (steps 8-9): distinct booking codes and distinct unique codes per invoice.
 
@@ -515,12 +521,10 @@ def attempts_per_invoice(t: dict, p: MartParams, d: dict) -> DataFrame:
     test bookings are counted; ``exclude_test_in_attempts`` removes them.
     Distinct counts are two aggregations: per (invoice, code), then per invoice.
     """
-    pb = _partner_bookings(t, p, d["express_taxi_types"], ["code", "is_unique_booking", "taxi_type_id"])
+    rows = d["partner_invoices"].select("invoice_number", "code", "is_unique_booking")
     if p.exclude_test_in_attempts:
-        pb = anti(pb, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
-    pb = pb.join(_delivered(t, p), F.col("code") == F.col("booking_code"), "left_semi")
-    bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"), "invoice_number")
-    rows = pb.join(bi, F.col("code") == bi["_bi_code"], "left")
+        rows = _without_tests(rows, t)
+    rows = rows.join(_delivered(t, p), F.col("code") == F.col("booking_code"), "left_semi")
     per_code = rows.groupBy("invoice_number", "code").agg(
         F.max(F.col("is_unique_booking") == "t").alias("_ub")
     )
@@ -532,6 +536,10 @@ def attempts_per_invoice(t: dict, p: MartParams, d: dict) -> DataFrame:
 
 # --- step 10/11: invoice summary ------------------------------------------------------
 
+# Columns of the delivery's timeline and their keys in its JSON text.
+TIMELINE = {"allocation_time": "allocate", "pickup_time": "pickup", "dropoff_time": "dropoff", "fail_time": "fail"}
+
+# The output columns of the last attempt and the keys of the summary.
 FINAL_COLUMNS = [
     "invoice_number", "booking_code", "state", "created_at", "distance", "dax_fare", "dax_fare_usd",
     "pax_fare", "pax_fare_usd", "commission", "pick_up_time_local", "country_name", "city_name",
@@ -551,32 +559,25 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
 
     Ties on ``created_at`` resolve by booking code, then by the other columns.
     """
-    b = _partner_bookings(
-        t, p, d["express_taxi_types"],
-        ["code", "state", "created_at", "distance", "fare", "commission", "pick_up_time_local", "country_name",
-         "city_name", "date_local", "country_id", "taxi_type_id"],
-    )
-    b = anti(b, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
-    # The top-1 below ignores repeated rows, so repeated mapping rows are dropped
-    # (inside the join's partitioning on the code).
-    mm = distinct_by_key_partition(named_mapping(d, t), "_mm_code")
+    rows = _without_tests(d["partner_invoices"].drop("is_unique_booking", "hour_local", "taxi_type_id"), t)
+    mm = named_mapping(d, t).distinct()  # the top-1 below ignores repeated rows
     bs = d["service_type_map"].select(F.col("booking_code").alias("_bs_code"), "service_type")
-    bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"), "invoice_number")
-    # Delivery rows with their info rows, joined on the delivery code before
-    # meeting the bookings, so every join of the bookings is on the booking code.
+    # JSON is parsed at the scans and its texts are dropped. Delivery rows meet
+    # their info rows first, so every join of the bookings is on the booking code.
+    at = {name: parse_iso_z(json_text("timeline", f"$.{key}")).alias(name) for name, key in TIMELINE.items()}
     db = t["delivery_booking"].where(F.col("year") == p.year).select(
-        F.col("booking_code").alias("_db_code"), F.col("delivery_code").alias("_db_delivery"), "timeline"
+        F.col("booking_code").alias("_db_code"), F.col("delivery_code").alias("_db_delivery"), *at.values()
     )
-    info = t["delivery_info"].where(F.col("year") == p.year).select(F.col("delivery_code").alias("_i_code"), "quote")
-    delivered = db.join(info, db["_db_delivery"] == info["_i_code"]).select("_db_code", "timeline", "quote")
-    rows = b
-    for right, key in ((mm, "_mm_code"), (bs, "_bs_code"), (bi, "_bi_code")):
+    info = t["delivery_info"].where(F.col("year") == p.year).select(
+        F.col("delivery_code").alias("_i_code"), json_double("quote", "$.amount").alias("amount")
+    )
+    delivered = db.join(info, db["_db_delivery"] == info["_i_code"]).drop("_db_delivery", "_i_code")
+    for right, key in ((mm, "_mm_code"), (bs, "_bs_code")):
         rows = rows.join(right, F.col("code") == right[key], "left")
     # LEFT JOINs made inner by the source's WHERE on booking.year and info.year.
     rows = rows.join(delivered, F.col("code") == delivered["_db_code"])
     rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
-    x, fare, amount = F.col("exchange_one_usd"), F.col("fare"), json_double("quote", "$.amount")
-    tl = F.col("timeline")
+    x, fare, amount = F.col("exchange_one_usd"), F.col("fare"), F.col("amount")
     candidates = rows.select(
         "invoice_number",
         F.col("code").alias("booking_code"),
@@ -594,10 +595,7 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
         "date_local",
         "merchant_name",
         "service_type",
-        parse_iso_z(json_text(tl, "$.allocate")).alias("allocation_time"),
-        parse_iso_z(json_text(tl, "$.pickup")).alias("pickup_time"),
-        parse_iso_z(json_text(tl, "$.dropoff")).alias("dropoff_time"),
-        parse_iso_z(json_text(tl, "$.fail")).alias("fail_time"),
+        *TIMELINE,
     )
     # The source de-duplicates the 20 columns before ROW_NUMBER. With ties broken
     # on every column the chosen values are the same with or without duplicates,
@@ -608,10 +606,7 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
 
 def first_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
     """Per invoice, the earliest attempt (by ``created_at`` text, NULL last)."""
-    b = _partner_bookings(t, p, d["express_taxi_types"], ["code", "created_at", "hour_local", "taxi_type_id"])
-    b = anti(b, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
-    bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"), "invoice_number")
-    rows = b.join(bi, F.col("code") == bi["_bi_code"], "left").select(
+    rows = _without_tests(d["partner_invoices"].select("invoice_number", "code", "created_at", "hour_local"), t).select(
         "invoice_number", F.col("code").alias("booking_code"), "created_at",
         F.col("hour_local").alias("invoice_hour_local"),
     )  # no DISTINCT needed before the top-1 (see last_attempts)

@@ -93,19 +93,6 @@ METRICS: list[tuple[str, tuple[str, ...] | None, str, str]] = [
     ("cancelled_fare", ("CXL", "UB"), "FARE", "null"),
 ]
 
-CUBE_KEYS = [
-    "hour_local",
-    "merchant_name",
-    "country",
-    "city",
-    "pickup_area",
-    "week_local",
-    "promo_ride",
-    "api_flag",
-    "service_type",
-    "date_local",
-]
-
 # Measures that are counts (BIGINT); all others are DOUBLE sums.
 COUNT_MEASURES = {"ONE", "SECS_TO_AWARD", "SECS_TO_CANCEL"}
 

@@ -101,36 +101,66 @@ def test_runner_writes_and_rereads(spark, mart_outputs, tmp_path):
 
 
 def test_spread_null_key_matches_like_plain_left_join(spark):
-    from parcelmart.operators.relational import match_key, spread_null_key
+    from parcelmart.operators.relational import spread_null_key
 
     left = spark.createDataFrame([(1, "a"), (2, None), (3, None), (4, "b")], "id int, code string")
     right = spark.createDataFrame([("a", 10), (None, 20), ("b", 30), ("b", 31)], "rcode string, v int")
     plain = left.join(right, left["code"] == right["rcode"], "left").select("id", "v")
     spread = (
         left.withColumn("_jk", spread_null_key(F.col("code"), F.col("id")))
-        .join(right, F.col("_jk") == match_key(right["rcode"]), "left")
+        .join(right, F.col("_jk") == right["rcode"], "left")
         .select("id", "v")
     )
     assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     anti_plain = left.join(right, left["code"] == right["rcode"], "left_anti").count()
     anti_spread = left.withColumn("_jk", spread_null_key(F.col("code"), F.col("id"))).join(
-        right, F.col("_jk") == match_key(right["rcode"]), "left_anti").count()
+        right, F.col("_jk") == right["rcode"], "left_anti").count()
     assert anti_plain == anti_spread == 2
 
 
 def test_weighted_distinct_preserves_left_join_sums(spark):
-    from parcelmart.operators.relational import match_key, spread_null_key, weighted_distinct
+    from parcelmart.operators.relational import spread_null_key, weighted_distinct
 
     left = spark.createDataFrame([(1, "a", 2.0), (2, "b", 3.0), (3, None, 5.0)], "id int, code string, x double")
     right = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 7)], "rcode string, v int")
     plain = left.join(right, left["code"] == right["rcode"], "left").groupBy("v").agg(
         F.sum("x").alias("s"), F.count(F.lit(1)).alias("n"))
-    side = weighted_distinct(right, match_key(right["rcode"]), "_k", "_w")
+    side = weighted_distinct(right, "rcode", "_w")
     weighted = (
         left.withColumn("_jk", spread_null_key(F.col("code"), F.col("id")))
-        .join(side, F.col("_jk") == side["_k"], "left")
+        .join(side, F.col("_jk") == side["rcode"], "left")
         .withColumn("_w", F.coalesce("_w", F.lit(1)))
         .groupBy("v").agg(F.sum(F.col("x") * F.col("_w")).alias("s"), F.sum("_w").alias("n"))
     )
     assert sorted(map(tuple, weighted.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert side.count() == 3
+
+
+def test_appended_files_are_seen(spark, tmp_path):
+    from parcelmart.plans.catalog import QUERIES
+    from parcelmart.sources.sinks import publish, published
+    from parcelmart.sources.tables import TABLE_NAMES, load
+
+    for name in TABLE_NAMES:
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    sf_dir = str(tmp_path)
+    before = load(spark, sf_dir, "lineitem").count(), QUERIES["anti_join"](spark, sf_dir).count()
+    orders = load(spark, sf_dir, "orders")
+    orders.withColumn("o_orderkey", F.col("o_orderkey") + 10_000_007).write.mode("append").parquet(f"{sf_dir}/orders.parquet")
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").write.mode("append").parquet(f"{sf_dir}/lineitem.parquet")
+    assert load(spark, sf_dir, "lineitem").count() == 2 * before[0]
+    assert QUERIES["anti_join"](spark, sf_dir).count() > before[1]
+
+    base = str(tmp_path / "published")
+    for n in (3, 4, 5):
+        publish(spark.range(n), base, "t", keep=2)
+    assert published(spark, base, "t").count() == 5
+    assert sorted(p.name for p in (tmp_path / "published" / "t").iterdir() if p.name[0] == "v") == ["v000002", "v000003"]
+    with pytest.raises(LookupError):
+        published(spark, base, "other")
+
+
+def test_runner_builds_only_what_is_asked_for(spark, mart_outputs, tmp_path):
+    t, _ = mart_outputs
+    out = runner.run(spark, t, PARAMS, run_dir=str(tmp_path / "few"), steps=["merchants_snapshot", "service_type_map"])
+    assert set(out) == {"merchants_snapshot", "service_type_map", "express_taxi_types"}

@@ -11,11 +11,12 @@ ORACLE = E.oracle_sql()
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    # Only the random-token query has no SQL equivalent.
-    assert set(QUERIES) - set(ORACLE) == {"token_url"}
+    # Of the library's own queries only the random tokens have no SQL equivalent.
+    own = {n for n in QUERIES if not n.startswith("op") and n != "pipeline"}
+    assert own - set(ORACLE) == {"token_url"}
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(n for n in ORACLE if not n.startswith("op")))
 def test_query_matches_oracle(spark, duck_small, name):
     r = compare(QUERIES[name](spark, SF_SMALL), ORACLE[name], duck_small)
     assert r["schema_match"], r

@@ -13,12 +13,9 @@ from parcelmart.functions import text as T
 
 
 def py_word_search(documents, keyword):
-    out = []
-    for i, doc in enumerate(documents):
-        normalized = [tok.rstrip(".,").lower() for tok in doc.split()]
-        if keyword.lower() in normalized:
-            out.append(i)
-    return out
+    """Positions of the documents that hold the keyword among their words, case and final '.' and ',' aside."""
+    words = [{w.rstrip(".,") for w in text.lower().split()} for text in documents]
+    return [at for at, found in enumerate(words) if keyword.lower() in found]
 
 
 DOCS = [
