@@ -6,13 +6,14 @@ a given length, and the two estimate the same Jaccard similarity. Bands of the
 signature bring candidates together; a link counts only after the full shingle
 sets are compared.
 
-Equal sets are one node from the start. Nodes are linked in rounds that never
-list all pairs of a bucket: each node is compared with the smallest node of
-another component that shares a bucket with it, the links found join
-components, and a bucket whose nodes are in one component is done. After the
-star rounds, what is left (buckets with nodes of different components) is
-compared pair by pair across components, so no link between components that
-the bands bring together is missed.
+Equal sets are one node from the start, and only nodes that share a bucket with
+another are looked at again: their full sets are made once. Bands are taken in
+batches. A task gets the nodes of one bucket with their full sets and component
+names, compares those of different components and emits only the links that
+join components, fewer than nodes; pairs are never listed. A pair belongs to
+the first band that it shares, so it is compared once at most. After each batch
+the components are contracted, and a bucket whose nodes are in one component is
+done. Buckets of any size are cut into blocks, a task for each two blocks.
 
 ``P(no shared band)`` at similarity s is ``(1 - s**ROWS) ** BANDS``: 3.6e-6 at 0.75.
 """
@@ -20,6 +21,7 @@ the bands bring together is missed.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,8 +36,10 @@ from parcelmart.llm.components import components
 ROWS, BANDS = 6, 64
 #: Permutations: each gives ROWS*BANDS/2 minima and as many maxima.
 PERMUTATIONS = ROWS * BANDS // 2
-#: Star rounds before the remaining pairs are compared.
-STAR_ROUNDS = 2
+#: Bands of each batch (up to, exclusive): the first few join most copies, so that later buckets are done.
+BATCHES = (4, 16, BANDS)
+#: Nodes of a bucket in a block.
+BLOCK = 512
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -150,39 +154,94 @@ def _full(size: int):
     return full
 
 
-def _common():
-    """Intersection sizes of full sets."""
+def _bytes_of():
+    """An array of 64-bit integers as bytes, which tasks read without taking it apart."""
 
-    @arrow_udf("bigint")
-    def common(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for a, b in zip(left, right):
-            x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-            out.append(len(np.intersect1d(x, y, assume_unique=True)))
-        return pa.array(out, pa.int64())
+    @arrow_udf("binary")
+    def packed(rows: pa.Array) -> pa.Array:
+        return pa.array([np.array(r, np.int64).tobytes() for r in rows.to_pylist()], pa.binary())
 
-    return common
+    return packed
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar enough.
+class Bucket:
+    """The nodes of one bucket (or of two of its blocks) while a task compares them."""
 
-    Only the documents that stand for a node of some pair are read and cut again.
-    """
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = wanted.join(nodes, "node").select(F.col("node").alias("want"), F.col("doc").alias("rep"))
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("want", _full(size)(text_bytes()).alias("set"))
+    def __init__(self, band: int, within: bool, percent: int):
+        self.band, self.within, self.percent = band, within, percent
+        self.sides: list[list] = [[], []]
+
+    def add(self, side: int, component: bytes, shingles: bytes, bands: bytes) -> None:
+        self.sides[side].append((component, np.frombuffer(shingles, np.uint64), np.frombuffer(bands, np.int64)))
+
+    def links(self) -> list[tuple[bytes, bytes]]:
+        """Links between components that join them all as far as the sets allow."""
+        left = self.sides[0]
+        right = left if self.within else self.sides[1]
+        if not left or not right or len({c for c, *_ in left} | {c for c, *_ in right}) < 2:
+            return []
+        parent: dict[bytes, bytes] = {}
+
+        def root(c: bytes) -> bytes:
+            while parent.get(c, c) != c:
+                c = parent[c]
+            return c
+
+        sizes = np.array([len(s) for _, s, _ in right])
+        bands = np.stack([b[: self.band] for *_, b in right])
+        out = []
+        for at, (component, shingles, own_bands) in enumerate(left):
+            n = len(shingles)
+            able = (100 * np.minimum(sizes, n) >= self.percent * np.maximum(sizes, n)) & ~(bands == own_bands[: self.band]).any(axis=1)
+            if self.within:
+                able[: at + 1] = False
+            mine = root(component)
+            others = [k for k in np.flatnonzero(able) if root(right[k][0]) != mine]
+            if not others:
+                continue
+            values = np.concatenate([right[k][1] for k in others])
+            place = np.minimum(np.searchsorted(shingles, values), n - 1)
+            starts = np.concatenate(([0], np.cumsum(sizes[others])[:-1]))
+            common = np.add.reduceat((shingles[place] == values).astype(np.int64), starts)
+            for k, c in zip(others, common):
+                if 100 * c >= self.percent * (n + sizes[k] - c):
+                    a, b = root(component), root(right[k][0])
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        out.append((min(a, b), max(a, b)))
+        return out
+
+
+def _compare(percent: int):
+    """Rows sorted by bucket and block pair, to links ``a, b`` between components."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def written(links: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+        key, bucket = None, None
+        for batch in batches:
+            links: list = []
+            keys = zip(*(batch.column(c).to_pylist() for c in ("bucket", "i", "j", "band")))
+            for row, (now, side) in enumerate(zip(keys, batch.column("side").to_pylist())):
+                if now != key:
+                    links += bucket.links() if bucket else []
+                    key, bucket = now, Bucket(now[3], now[1] == now[2], percent)
+                bucket.add(side, *(batch.column(c)[row].as_py() for c in ("component", "shingles", "bands")))
+            yield written(links)
+        if bucket:
+            yield written(bucket.links())
+
+    return compare
+
+
+def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``node, bands, shingles`` of the ``wanted`` nodes (``node, doc, bands``), from the documents that stand for them."""
+    wanted = wanted.select(F.col("node").alias("want"), F.col("doc").alias("rep"), "bands")
+    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("want", "bands", _full(size)(text_bytes()).alias("set"))
     # A repeated doc_id may bring another text along, and a repeated row the same one.
-    sets = texts.where(F.col("set")["node"] == F.col("want")).select(F.col("want").alias("node"), F.col("set")["shingles"].alias("shingles"))
-    sets = stored(sets.dropDuplicates(["node"]), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(left, "a").join(right, "b")
-    sized = both.withColumn("nx", F.octet_length("x")).withColumn("ny", F.octet_length("y"))
-    # The intersection is at most the smaller set.
-    able = sized.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-    counted = able.select("a", "b", ((F.col("nx") + F.col("ny")) / 8).cast("bigint").alias("total"), _common()("x", "y").alias("common"))
-    return counted.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
+    sets = texts.where(F.col("set")["node"] == F.col("want"))
+    return sets.select(F.col("want").alias("node"), "bands", F.col("set")["shingles"].alias("shingles")).dropDuplicates(["node"])
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
@@ -204,53 +263,36 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     signed = docs.select("doc_id", _signed(size)(text_bytes()).alias("s")).select("doc_id", "s.n", "s.node", "s.bands")
     members = stored(signed, "members")
     nodes = stored(members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands")), "nodes")
-    # One row of bands a node: equal sets have equal bands.
-    buckets = nodes.select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket")
-    shared = stored(buckets.join(stored(crowded, "buckets"), "bucket"), "shared")
-
-    links = None
-    labels = None
-    tested = None
-    for turn in range(STAR_ROUNDS + 1):
-        if labels is None:
-            placed = shared.withColumn("component", F.col("node"))
-        else:
-            placed = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        spread = (
-            placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("first"),
-                                         F.min_by("node", F.struct("component", "node")).alias("low_node"),
-                                         F.max_by("node", F.struct("component", "node")).alias("high_node"))
-            .where("low < high")
+    shared = stored(buckets.join(stored(crowded, "crowded"), "bucket"), "shared")
+    labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
+    packed = nodes.join(labels, "node", "left_semi").select("node", "doc", _bytes_of()("bands").alias("bands"))
+    sets = stored(_full_sets(docs, packed, size), "sets")
+
+    first = 0
+    for end in BATCHES:
+        placed = shared.where(F.col("band").between(first, end - 1)).join(labels, "node")
+        first = end
+        spread = placed.groupBy("bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held")
         )
-        spread = stored(spread, "open-buckets")
+        spread = stored(spread.where("low < high").select("bucket", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")), "open")
         if spread.isEmpty():
-            break
-        placed = placed.join(spread, "bucket")
-        if turn < STAR_ROUNDS:
-            # Against the bucket's smallest component, its own members against the largest.
-            other = F.when(F.col("component") != F.col("low"), F.col("low_node")).otherwise(F.col("high_node"))
-            pairs = placed.groupBy("node").agg(F.min(other).alias("other"))
-            pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        else:
-            placed = stored(placed.select("bucket", "node", "component"), "open")
-            mine = placed.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-            rest = placed.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = mine.join(rest, "bucket").where("a < b AND ca != cb").select("a", "b")
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_confirmed(pairs, nodes, docs, percent, size), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        labels = components(links)
-
-    placed = nodes.select("node", "doc")
-    if labels is None:
-        placed = placed.withColumn("component", F.col("node"))
-    else:
-        placed = placed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            continue
+        rows = placed.join(spread, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select(
+            "bucket", "band", "node", "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
+            (F.col("block") > F.col("with")).cast("int").alias("side"),
+        )
+        rows = rows.join(sets, "node").drop("node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        links = stored(rows.mapInArrow(_compare(percent), "a binary, b binary").distinct(), "joined")
+        moved = components(links).select(F.col("node").alias("old"), F.col("component").alias("new"))
+        labels = labels.join(moved, F.col("component") == F.col("old"), "left")
+        labels = stored(labels.select("node", F.coalesce("new", "component").alias("component")), "labels")
+
+    placed = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("doc").alias("component_id"))
     named = stored(placed.join(smallest, "component").select(F.col("node").alias("own"), "component_id"), "named")
     out = members.select("doc_id", "n", "node").join(named, F.col("node") == F.col("own"), "left")
