@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,6 +95,10 @@ class MartParams:
     attempts_from: str = "2018-01-01"  # steps 8 and 10: partition_date >=
     excluded_countries: tuple = (7, 8)
     exclude_test_in_attempts: bool = False  # step 8's test filter is vacuous in the source
+    end_date: str | None = None  # step 1: last partition date (the source has no upper bound)
+    on_error: str = "fail"  # unreadable first_at and first-attempt times: "fail", or "null"
+    drop_unmapped: bool = False  # leave out bookings without an invoice (the source keeps them as one NULL group)
+    single_type_join: bool = False  # count a booking once per valid type version, not once more per version
 
 
 # --- step 12 and 13: dimension copies -----------------------------------------------
@@ -124,7 +129,10 @@ def pax_fares(t: dict, p: MartParams) -> DataFrame:
         (date_from_parts("year", "month", "day") >= F.lit(dt.date.fromisoformat(p.fares_from)))
         & not_blank("delivery_code")
         & (F.col("year") == p.year)
-    ).select("delivery_code", json_double("quote", "$.amount").alias("amount"))
+    )
+    if p.end_date is not None:
+        info = info.where(date_from_parts("year", "month", "day") <= F.lit(dt.date.fromisoformat(p.end_date)))
+    info = info.select("delivery_code", json_double("quote", "$.amount").alias("amount"))
     db = t["delivery_booking"].where(not_blank("booking_code") & (F.col("year") == p.year)).select(
         "delivery_code", "booking_code"
     )
@@ -324,7 +332,7 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
     valid = F.size(F.filter("_ranges", lambda r: in_validity(F.col("created_at_local"), r["s"], r["e"])))
     rows = (
         bk.join(versions, bk["taxi_type_id"] == versions["_v_id"])
-        .withColumn("_mult", F.col("_n_versions") * valid)
+        .withColumn("_mult", valid.cast("bigint") if p.single_type_join else F.col("_n_versions") * valid)
         .where(F.col("_mult") > 0)
         .drop("_v_id", "_n_versions", "_ranges")
     )
@@ -392,7 +400,7 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
     for w in weights:
         rows = rows.withColumn("_mult", F.col("_mult") * w)
     rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
-    return cube_from_rows(rows, weight=F.col("_mult"))
+    return cube_from_rows(rows, weight=F.col("_mult"), strict=p.on_error == "fail")
 
 
 def type_versions(types: DataFrame) -> DataFrame:
@@ -406,7 +414,7 @@ def type_versions(types: DataFrame) -> DataFrame:
     )
 
 
-def cube_from_rows(rows: DataFrame, weight: Column | None = None) -> DataFrame:
+def cube_from_rows(rows: DataFrame, weight: Column | None = None, strict: bool = True) -> DataFrame:
     """The aggregation of B7 over the joined booking rows (one pass, 64 sums).
 
     ``weight`` is the number of times each row stands for itself (the
@@ -437,7 +445,7 @@ def cube_from_rows(rows: DataFrame, weight: Column | None = None) -> DataFrame:
         "GMV": F.coalesce(tolls, zero) + F.coalesce(fare, zero) + F.coalesce(fee, zero),
         "GMV_USD": F.coalesce(per_rate(tolls, x), zero) + F.coalesce(per_rate(fare, x), zero)
         + F.coalesce(per_rate(fee, x), zero),
-        "SECS_TO_AWARD": elapsed_seconds(parse_ts(F.col("first_at")), awarded),
+        "SECS_TO_AWARD": elapsed_seconds(parse_ts(F.col("first_at"), strict), awarded),
         "SECS_TO_CANCEL": cancel,
         "COMMISSION0": F.coalesce(F.col("commission"), zero),
         "PROMO_EXPENSE0": F.coalesce(F.col("promo_expense_local"), zero),
@@ -507,7 +515,7 @@ def partner_invoices(t: dict, p: MartParams, d: dict) -> DataFrame:
          "city_name", "date_local", "country_id", "taxi_type_id", "hour_local", "is_unique_booking"],
     )
     bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"), "invoice_number")
-    return b.join(bi, F.col("code") == bi["_bi_code"], "left").drop("_bi_code")
+    return b.join(bi, F.col("code") == bi["_bi_code"], "inner" if p.drop_unmapped else "left").drop("_bi_code")
 
 
 def _without_tests(df: DataFrame, t: dict) -> DataFrame:
@@ -615,7 +623,7 @@ def first_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
     return first.select(
         "invoice_number",
         F.col("booking_code").alias("first_booking_code"),
-        parse_ts_dropping_millis("created_at", strict=True).alias("first_time_stamp"),
+        parse_ts_dropping_millis("created_at", strict=p.on_error == "fail").alias("first_time_stamp"),
         "invoice_hour_local",
     )
 
@@ -671,3 +679,25 @@ def invoice_summary(t: dict, p: MartParams, d: dict) -> DataFrame:
         F.sum("pax_fare").alias("pax_fare"),
         F.sum("pax_fare_usd").alias("pax_fare_usd"),
     )
+
+
+# --- data quality ---------------------------------------------------------------------
+
+# Keys that repeat a booking in the cube when a joined table holds them more than once.
+CUBE_JOIN_KEYS = {
+    "merchant_mapping": ["code"], "booking_invoice": ["booking_code"], "pax_fares": ["booking_code"],
+    "receipts": ["booking_code"], "promo_bookings": ["code"], "unique_bookings": ["last_id"], "merchants": ["merchant_id"],
+    "area_map": ["country_id", "city_id", "geohash"], "candidate_metadata": ["booking_code", "partition_date"],
+}
+
+
+def uniqueness_report(t: dict, d: dict) -> DataFrame:
+    """Per table joined into the cube, how many keys repeat and by how many rows: what fans the bookings out."""
+    parts = []
+    for name, key in CUBE_JOIN_KEYS.items():
+        table = d[name] if name in d else t[name]
+        repeated = table.where(F.col(key[0]).isNotNull()).groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        parts.append(repeated.agg(
+            F.lit(name).alias("table"), F.count(F.lit(1)).alias("repeated_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra_rows")
+        ))
+    return reduce(DataFrame.unionByName, parts)

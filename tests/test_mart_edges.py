@@ -122,3 +122,10 @@ def test_cube_measures_on_edge_rows(spark):
     assert app.time_to_allocation == 0 and app.time_to_cancellation == 0
     assert partner.service_type == "unmapped" and app.service_type == "APP"
     assert partner.merchant_name == "Unknown" and partner.pickup_area == "Other Areas"
+
+
+def test_pax_fares_end_date(spark, fares_tables):
+    from dataclasses import replace
+
+    got = sorted(map(tuple, mart.pax_fares(fares_tables, replace(P, end_date="2018-01-31")).collect()))
+    assert got == [("PARTNER-1", 12.0), ("PARTNER-1", 13.0)]

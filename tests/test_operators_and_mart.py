@@ -164,3 +164,32 @@ def test_runner_builds_only_what_is_asked_for(spark, mart_outputs, tmp_path):
     t, _ = mart_outputs
     out = runner.run(spark, t, PARAMS, run_dir=str(tmp_path / "few"), steps=["merchants_snapshot", "service_type_map"])
     assert set(out) == {"merchants_snapshot", "service_type_map", "express_taxi_types"}
+
+
+def test_mart_options(mart_outputs):
+    from dataclasses import replace
+
+    t, d = mart_outputs
+    every, mapped = (mart.partner_invoices(t, replace(PARAMS, drop_unmapped=x), d) for x in (False, True))
+    assert mapped.where("invoice_number IS NULL").count() == 0
+    assert mapped.count() == every.where("invoice_number IS NOT NULL").count()
+    once = mart.daily_metrics(t, replace(PARAMS, single_type_join=True), d).agg(F.sum("all_bookings")).first()[0]
+    assert 0 < once < d["daily_metrics"].agg(F.sum("all_bookings")).first()[0]
+
+
+def test_unreadable_first_attempt_times(spark, mart_outputs):
+    from dataclasses import replace
+
+    t, d = mart_outputs
+    rows = {**d, "partner_invoices": d["partner_invoices"].withColumn("created_at", F.lit("no time"))}
+    got = mart.first_attempts(t, replace(PARAMS, on_error="null"), rows)
+    assert got.count() > 0 and got.where("first_time_stamp IS NOT NULL").count() == 0
+    with pytest.raises(Exception, match="no time|CANNOT_PARSE"):
+        mart.first_attempts(t, PARAMS, rows).collect()
+
+
+def test_uniqueness_report(mart_outputs):
+    t, d = mart_outputs
+    report = {r.table: (r.repeated_keys, r.extra_rows) for r in mart.uniqueness_report(t, d).collect()}
+    assert set(report) == set(mart.CUBE_JOIN_KEYS) and report["merchants"] == (0, 0)
+    assert report["merchant_mapping"][0] > 0 and report["merchant_mapping"][1] >= report["merchant_mapping"][0]
