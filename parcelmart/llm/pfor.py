@@ -25,6 +25,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelmart.llm.bpe import MEMO_PIECES, Memo
+from parcelmart.llm.chunks import ChunkTable
 from parcelmart.llm.common import small_batches, stored, text_bytes
 
 MAGIC = b"PFOR1\0"
@@ -156,11 +157,21 @@ def open_image(data: bytes) -> list[Stream]:
     return out
 
 
+def byte_alphabet() -> dict[int, int]:
+    """The characters that byte-level vocabularies write bytes with: visible Latin-1 ones
+    stand for themselves, the others get the characters from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in visible]
+    return {b: b for b in visible} | {b: 256 + k for k, b in enumerate(others)}
+
+
 class LibraryEncoder:
-    """The tokenizers library's ids of a text.
+    """The tokenizers library's ids of texts.
 
-    Its byte-level pre-tokenizer never joins text across the start of a piece,
-    so each distinct piece goes through the library once while it is kept.
+    A chunk that repeats is encoded once while it is kept. Its pieces go to the
+    library's model directly, in the byte alphabet that the library's
+    pre-tokenizer would write them in; texts with wider white space go through
+    the library's whole pipeline.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -169,29 +180,20 @@ class LibraryEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their names in a text are ordinary text
-        self.pattern = regex.compile(pattern)
-        self.pieces = Memo(self._piece, MEMO_PIECES)
-        self.chunks = Memo(self._chunk, MEMO_PIECES)
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.library.encode(piece, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.tokenize, self.pattern, self.alphabet = self.library.model.tokenize, regex.compile(pattern), byte_alphabet()
+        self.chunks = ChunkTable(self._whole, lambda chunks: map(self._chunk, chunks))
 
-    def _run(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _chunk(self, chunk: str) -> bytes | None:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            return None
-        return self._run(" " + chunk)
+    def _chunk(self, chunk: str) -> bytes:
+        # A space and letters are one piece.
+        pieces = (chunk,) if chunk[0] == " " and chunk[1:].isalpha() else self.pattern.findall(chunk)
+        written = [p.encode().decode("latin-1").translate(self.alphabet) for p in pieces]
+        return array("I", [token.id for piece in written for token in self.tokenize(piece)]).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """A piece always starts at a single space, so the text is cut there first."""
-        first, *rest = text.split(" ")
-        ids = list(map(self.chunks.__getitem__, rest))
-        if None in ids or rest and (not first or first[-1].isspace()):
-            return self._run(text)
-        return self._run(first) + b"".join(ids)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.chunks.encode(texts)
 
 
 @lru_cache(maxsize=2)
@@ -235,8 +237,9 @@ def write_token_files(
 
         held = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                chunk = encoder.encode(text.as_py().decode("utf-8", "replace")) + end
+            texts = [t.decode("utf-8", "replace") for t in batch.column(1).to_pylist()]
+            for doc_id, encoded in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+                chunk = encoded + end
                 ids.append(doc_id or 0)
                 nulls.append(doc_id is None)
                 tokens.append(len(chunk) // 4)
