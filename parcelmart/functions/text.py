@@ -65,17 +65,17 @@ def py_mod(total, n=3) -> Column:
 
 # --- Y4: pass/fail message --------------------------------------------------------------
 
-def quiz_outcome(grade, threshold: int = 50) -> Column:
+def pass_or_fail(grade, threshold: int = 50) -> Column:
     """Y4: 'failed' below ``threshold`` else 'passed'; NULL grade stays NULL."""
     g = _col(grade)
     return F.when(g < threshold, F.lit("failed")).when(g >= threshold, F.lit("passed"))
 
 
-def quiz_message(grade, threshold: int = 50) -> Column:
+def grade_sentence(grade, threshold: int = 50) -> Column:
     """The printed line ``You <outcome> the quiz with a grade of <grade>``."""
     g = _col(grade)
     return F.concat(
-        F.lit("You "), quiz_outcome(g, threshold), F.lit(" the quiz with a grade of "), g.cast("string")
+        F.lit("You "), pass_or_fail(g, threshold), F.lit(" the quiz with a grade of "), g.cast("string")
     )
 
 

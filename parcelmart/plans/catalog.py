@@ -370,8 +370,8 @@ def mod_default(spark, sf_dir):
     """Y2: Python modulo with default divisor 3, and with a negative divisor."""
     o = load(spark, sf_dir, "orders")
     total = F.col("o_custkey") - 500
-    return o.select("o_orderkey", total.alias("total"), _txt.py_mod(total).alias("smash"),
-                    _txt.py_mod(total, -7).alias("smash_neg"))
+    return o.select("o_orderkey", total.alias("total"), _txt.py_mod(total).alias("left_over"),
+                    _txt.py_mod(total, -7).alias("left_over_neg"))
 
 
 @query
@@ -385,7 +385,7 @@ def list_index(spark, sf_dir):
 def any_multiple(spark, sf_dir):
     """Y8 (grouped form): does any line quantity of an order divide by 7."""
     li = load(spark, sf_dir, "lineitem")
-    return li.groupBy("l_orderkey").agg(_arr.any_multiple_agg("l_quantity", 7).alias("has_lucky_number"))
+    return li.groupBy("l_orderkey").agg(_arr.any_multiple_agg("l_quantity", 7).alias("has_multiple"))
 
 
 @query
@@ -414,8 +414,8 @@ def grade_message(spark, sf_dir):
     """pass/fail outcome and the printed message for grade = 2 x size."""
     part = load(spark, sf_dir, "part")
     grade = F.col("p_size") * 2
-    return part.select("p_partkey", grade.alias("grade"), _txt.quiz_outcome(grade).alias("outcome"),
-                       _txt.quiz_message(grade).alias("message"))
+    return part.select("p_partkey", grade.alias("grade"), _txt.pass_or_fail(grade).alias("outcome"),
+                       _txt.grade_sentence(grade).alias("message"))
 
 
 @query

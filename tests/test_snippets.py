@@ -126,9 +126,9 @@ def test_to_array_and_add(spark):
 
 
 @pytest.mark.parametrize("grade", [45, 50, 49, 100, None])
-def test_quiz_message(spark, grade):
+def test_grade_sentence(spark, grade):
     df = spark.createDataFrame([(grade,)], "g int")
-    r = df.select(T.quiz_outcome("g").alias("o"), T.quiz_message("g").alias("m")).first()
+    r = df.select(T.pass_or_fail("g").alias("o"), T.grade_sentence("g").alias("m")).first()
     if grade is None:
         assert (r.o, r.m) == (None, None)
     else:
