@@ -17,7 +17,7 @@ from parcelmart.llm.cotrain import score, train
 from parcelmart.llm.decontaminate import find_contamination
 from parcelmart.llm.line_dedup import dedup_lines
 from parcelmart.llm.near_dedup import near_duplicates
-from parcelmart.llm.queries import bpe_round_trip
+from parcelmart.llm.queries import bpe_digest
 from parcelmart.session import checkpoint_dir
 
 
@@ -51,7 +51,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of what is left, and back: counts and digests."""
-    return bpe_round_trip(docs)
+    return bpe_digest(docs)
 
 
 STAGES = [

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import struct
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -25,11 +25,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from parcelmart.llm.chunks import ChunkTable
 from parcelmart.llm.common import text_bytes
 
 #: Entries kept in a worker's tables before they are emptied; bounds its memory.
-MEMO_PIECES = 500_000
-MEMO_PAIRS = 1_000_000
+MEMO_PIECES = 200_000
+MEMO_PAIRS = 500_000
 #: Longer pieces are encoded each time instead of being kept.
 MEMO_BYTES = 64
 NEVER = 1 << 62
@@ -58,16 +59,21 @@ class BytePairCodec:
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.finder = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            # An entry that its own merges do not produce can only be a whole piece.
-            if len(token) == 1 or self.halves(token):
-                self.finder.add_word(token.decode("latin-1"), (len(token), rank))
-        self.finder.make_automaton()
         self.borders: dict[tuple[int, bool], tuple] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces = Memo(lambda piece: self.encode_piece(piece.encode("utf-8", "surrogatepass")), MEMO_PIECES)
-        self.chunks = Memo(self.encode_chunk, MEMO_PIECES)
+        self.chunks = ChunkTable(self.encode_run, lambda chunks: map(self.encode_run, chunks))
+
+    @cached_property
+    def finder(self) -> ahocorasick.Automaton:
+        """Finds the entries in a piece; made when a worker first encodes."""
+        finder = ahocorasick.Automaton()
+        for token, rank in self.ranks.items():
+            # An entry that its own merges do not produce can only be a whole piece.
+            if len(token) == 1 or self.halves(token):
+                finder.add_word(token.decode("latin-1"), (len(token), rank))
+        finder.make_automaton()
+        return finder
 
     def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two tokens whose merge makes ``token``; None if merging its bytes ends in more or fewer."""
@@ -158,22 +164,13 @@ class BytePairCodec:
         return b"".join([rank.to_bytes(4, "little") for _, rank in path])
 
     def encode_run(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
-
-    def encode_chunk(self, chunk: str) -> bytes | None:
-        """The ids of a space and the characters up to the next one; None if more white space touches either."""
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            return None
-        return self.encode_run(" " + chunk)
-
-    def encode(self, text: str) -> bytes:
-        """The pattern always starts a piece at a single space, so the text is cut
-        there first; a text with wider white space around a space is taken whole."""
-        first, *rest = text.split(" ")
-        ids = list(map(self.chunks.__getitem__, rest))
-        if None in ids or rest and (not first or first[-1].isspace()):
-            return self.encode_run(text)
-        return self.encode_run(first) + b"".join(ids)
+        pieces = self.pattern.findall(text)
+        if len(pieces) == 1:  # kept as a chunk
+            return self.encode_piece(pieces[0].encode("utf-8", "surrogatepass"))
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.chunks.encode(texts)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, memoryview(ids).cast("I").tolist())) if ids else b""
@@ -198,7 +195,7 @@ def bpe_encode(text: str | Column, path: str, pattern: str) -> Column:
     @arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
         own = codec(path, pattern)
-        return pa.array([own.encode(t.decode("utf-8", "replace")) for t in texts.to_pylist()], pa.binary())
+        return pa.array(own.encode([t.decode("utf-8", "replace") for t in texts.to_pylist()]), pa.binary())
 
     return encode(text_bytes(text))
 
@@ -212,3 +209,16 @@ def bpe_decode(ids: str | Column, path: str, pattern: str) -> Column:
         return pa.array([own.decode(r or b"") for r in rows.to_pylist()], pa.binary())
 
     return decode(F.col(ids) if isinstance(ids, str) else ids)
+
+
+def bpe_round_trip(text: str | Column, path: str, pattern: str) -> Column:
+    """``struct<ids, decoded>``: encoded as by ``bpe_encode`` and decoded again, in one pass over the text."""
+    kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+
+    @arrow_udf("struct<ids:binary,decoded:binary>")
+    def round_trip(texts: pa.Array) -> pa.Array:
+        own = codec(path, pattern)
+        ids = own.encode([t.decode("utf-8", "replace") for t in texts.to_pylist()])
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(map(own.decode, ids), pa.binary())], fields=list(kind))
+
+    return round_trip(text_bytes(text))

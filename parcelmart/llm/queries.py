@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelmart.llm.bpe import bpe_decode, bpe_encode
+from parcelmart.llm.bpe import bpe_round_trip
 from parcelmart.llm.common import small_batches, stored, table
 from parcelmart.llm.cotrain import score, train as train_quality
 from parcelmart.llm.decontaminate import contamination_digest, find_contamination
@@ -71,11 +71,10 @@ def op7_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=75, size=5)
 
 
-def bpe_round_trip(docs: DataFrame) -> DataFrame:
+def bpe_digest(docs: DataFrame) -> DataFrame:
     """Encode every text, decode the ids again; counts and digests of both."""
     small_batches(docs.sparkSession)
-    ids = docs.select("doc_id", bpe_encode("text", BPE_RANKS, PATTERN).alias("ids"))
-    both = ids.select("doc_id", "ids", bpe_decode("ids", BPE_RANKS, PATTERN).alias("decoded"))
+    both = docs.select("doc_id", bpe_round_trip("text", BPE_RANKS, PATTERN).alias("r")).select("doc_id", "r.ids", "r.decoded")
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -86,7 +85,7 @@ def bpe_round_trip(docs: DataFrame) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every text and back."""
-    return bpe_round_trip(table(spark, sf_dir, "documents"))
+    return bpe_digest(table(spark, sf_dir, "documents"))
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
