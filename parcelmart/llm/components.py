@@ -13,8 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     In a round every node points to the smallest of itself and its neighbours,
     the links are rewritten between the nodes pointed to, and those inside one
-    node vanish. Chains and stars shrink by a factor each round, so the rounds
-    grow with the logarithm of the longest chain. Minima are combined
+    node vanish. Names that are hashes, as here, fall in no order along a chain,
+    so chains as well as stars shrink by a factor each round. Minima are combined
     map-side, so a node with very many links is one row per map task.
     """
     pairs = links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
