@@ -8,10 +8,10 @@ that template; then the template's shingles are looked up in the region around
 the window, and the exact share found (the containment) decides.
 
 The setting guarantees retrieval: a window and a template window of Jaccard
-similarity s share a band with probability ``1 - (1 - s)**BANDS``: 0.996 at one
-half, and a notice lies in several windows. Only windows with a key word are
-hashed: every template shingle holds one, but for the few made of common words
-alone, and these cannot make a window similar.
+similarity s share a band with probability ``1 - (1 - s)**BANDS``: 0.99998 at
+one half, which the shortest notice (five words) reaches in some window. Only
+windows with a key word are hashed: every template shingle holds one, but for
+the few made of common words alone, and these cannot make a window similar.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: Words in a shingle and in a window, words from window to window, and bands.
-SHINGLE, WINDOW, STRIDE, BANDS = 3, 8, 3, 8
+SHINGLE, WINDOW, STRIDE, BANDS = 3, 8, 3, 16
 #: Share of a template's shingles that a region must hold.
 CONTAINMENT = 0.8
 
