@@ -115,7 +115,9 @@ class Best:
         self.scores, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def kth(self) -> float:
-        return max(self.floor, float(self.scores[-1])) if len(self.scores) == self.k else self.floor
+        """The score to reach; a little lower where doubles do not hold every integer."""
+        score = max(self.floor, float(self.scores[-1])) if len(self.scores) == self.k else self.floor
+        return score if abs(score) < EXACT else float(np.nextafter(score, -np.inf))
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
         near = scores >= self.kth()
