@@ -151,7 +151,8 @@ def _full(size: int):
             out.append({"node": node_of(found), "shingles": found.tobytes()})
         return pa.array(out, kind)
 
-    return full
+    # Marked so that Spark does not move it below the join, to documents that no pair needs.
+    return full.asNondeterministic()
 
 
 def _bytes_of():
