@@ -51,7 +51,9 @@ def labelled_samples(docs: DataFrame, pages: DataFrame | None = None, rows: int
     spark = docs.sparkSession
 
     def sample(frame: DataFrame, key: str, value: str) -> DataFrame:
-        return frame.select(key, F.col(value).alias("value")).where("value IS NOT NULL").orderBy(F.xxhash64(key), key).limit(rows)
+        ids = frame.where(F.col(value).isNotNull()).select(F.col(key).alias("chosen")).distinct()
+        ids = F.broadcast(ids.orderBy(F.xxhash64("chosen"), "chosen").limit(rows))  # ``rows`` ids at most; texts stay in place
+        return frame.join(ids, F.col(key) == F.col("chosen"), "left_semi").select(F.col(value).alias("value"))
 
     texts = sample(docs, "doc_id", "text")
     words = texts.select(F.explode(F.regexp_extract_all("value", F.lit(r"[A-Za-z0-9_-]{4,}"), F.lit(0))).alias("token"))
