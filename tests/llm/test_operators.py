@@ -143,6 +143,31 @@ def test_license_scan(spark, empty):
     assert licenses.scan_licenses(empty, TEMPLATES).count() == 0
 
 
+GPL, LGPL, AGPL = (TEMPLATES[k] for k in ("gpl-notice", "lgpl-notice", "agpl-notice"))
+
+
+def test_license_siblings_are_told_apart(spark):
+    """Every template alone gives itself; siblings without a template give none; two notices give both."""
+    lgpl = GPL.replace("GNU General", "GNU Lesser General")
+    work, cc = TEMPLATES["gpl-3.0"], TEMPLATES["cc-by-4.0"]
+    rest = (" either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, "
+            "but WITHOUT ANY WARRANTY. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along")
+    texts = {k: (v, {k}) for k, v in TEMPLATES.items()} | {
+        "lgpl program": (lgpl, {"lgpl-notice"}), "library": (GPL.replace("GNU General", "GNU Library General"), set()),
+        "lgpl naming gpl": (lgpl + rest, {"lgpl-notice"}), "agpl naming gpl": (AGPL + rest, {"agpl-notice"}), "gpl": (GPL + rest, {"gpl-notice"}),
+        "both": (GPL + " or, as you like, " + AGPL, {"gpl-notice", "agpl-notice"}),
+        "worded": (GPL.replace("terms of", "terms of version 3 of"), {"gpl-notice"}),
+        "gpl 1": (work.replace("3.", "1."), set()), "library 3": (work.replace("GNU", "GNU Library"), set()),
+        "cc 3": (cc.replace("4.0", "3.0"), set()), "both cc": (cc + ". " + TEMPLATES["cc-by-sa-4.0"], {"cc-by-4.0", "cc-by-sa-4.0"}),
+    }
+    names, around = list(texts), "some words of the page "
+    rows = [(i, around * 30 + texts[n][0] + " " + around * 30) for i, n in enumerate(names)]
+    out = {n: set() for n in names}
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, SCHEMA), TEMPLATES).collect():
+        out[names[r.doc_id]].add(r.license_id)
+    assert out == {n: want for n, (_, want) in texts.items()}
+
+
 def test_license_shingles_hold_key_words():
     keys = set(licenses.key_words(TEMPLATES))
     for text in TEMPLATES.values():
