@@ -3,8 +3,9 @@
 Fixed patterns find the base spans. Beyond them, long runs of token characters
 are judged by two first-order Markov models, one of random strings and one of
 ordinary identifiers: a run whose log-likelihood ratio passes the margin is a
-secret. Both models are transition counts of labelled samples, aggregated by
-Spark; what reaches the driver is one count per pair of characters and label.
+secret. Both models are transition counts, of the words of all rows and of
+generated random strings, aggregated by Spark; what reaches the driver is one
+count per pair of characters and label.
 
 Positions are code points. They follow from cutting the text at the matches:
 a match starts after all pieces and matches before it.
@@ -12,6 +13,7 @@ a match starts after all pieces and matches before it.
 
 from __future__ import annotations
 
+from collections import Counter
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +30,11 @@ RUN = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 #: Characters of the models; any other counts as one more.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 STATES = len(ALPHABET) + 1
+#: The code that stands for all characters past ASCII while transitions are counted.
+OTHER = 128
 
-#: Rows of each table that identifiers are sampled from, and random strings of each form.
-SAMPLE_ROWS = 2000
+#: Generated strings of each form.
+GENERATED = 2000
 #: Nats by which the random model must be the likelier.
 MARGIN = 10.0
 
@@ -40,28 +44,21 @@ def _codes(token: Column) -> Column:
     return F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
-def labelled_samples(docs: DataFrame, pages: DataFrame | None = None, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``token, random``: identifiers (0) of a bounded sample of rows, and as many kinds of random strings (1).
+def labelled_samples(docs: DataFrame, pages: DataFrame | None = None, rows: int = GENERATED) -> DataFrame:
+    """``token, random``: the identifiers (0) of all rows, and generated random strings (1).
 
-    Identifiers are the words and numbers of sampled texts and the parts of
-    sampled addresses. Random strings are digests written as hexadecimal,
-    base64 and capitals with digits. The ``rows`` rows with the smallest hashes
-    of their ids are sampled.
+    Identifiers are the words and numbers of all texts, the parts of all
+    addresses and ``rows`` generated numbers. Random strings, ``rows`` of each
+    form, are digests written as hexadecimal, base64 and capitals with digits.
     """
     spark = docs.sparkSession
-
-    def sample(frame: DataFrame, key: str, value: str) -> DataFrame:
-        ids = frame.where(F.col(value).isNotNull()).select(F.col(key).alias("chosen")).distinct()
-        ids = F.broadcast(ids.orderBy(F.xxhash64("chosen"), "chosen").limit(rows))  # ``rows`` ids at most; texts stay in place
-        return frame.join(ids, F.col(key) == F.col("chosen"), "left_semi").select(F.col(value).alias("value"))
-
-    texts = sample(docs, "doc_id", "text")
+    texts = docs.select(F.col("text").alias("value"))
     words = texts.select(F.explode(F.regexp_extract_all("value", F.lit(r"[A-Za-z0-9_-]{4,}"), F.lit(0))).alias("token"))
     # What the base patterns take for a secret is no example of an identifier.
     words = words.where(~F.col("token").rlike(f"^(?:{ACCESS}|{HEX})$"))
     plain = words
     if pages is not None:
-        urls = sample(pages, "page_id", "url")
+        urls = pages.select(F.col("url").alias("value"))
         plain = plain.union(urls.select(F.explode(F.regexp_extract_all("value", F.lit(r"[A-Za-z0-9/_-]{4,}"), F.lit(0)))))
     seeds = spark.range(rows).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
     numbers = spark.range(rows).select((F.abs(F.xxhash64("id")) % F.lit(10**16)).cast("string").alias("token"))
@@ -77,9 +74,13 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
     Tokens that are null or shorter than two characters have no transition; a
     label without samples gives a uniform model.
     """
-    codes = samples.where(F.length("token") >= 2).select("random", _codes(F.col("token")).alias("c"))
-    steps = codes.select("random", F.explode(F.arrays_zip(F.slice("c", 1, F.size("c") - 1).alias("a"), F.slice("c", 2, F.size("c") - 1).alias("b"))).alias("s"))
-    counts = {(r.random, r.a, r.b): r.n for r in steps.groupBy("random", "s.a", "s.b").agg(F.count(F.lit(1)).alias("n")).collect()}
+    codes = samples.where(F.length("token") >= 2).select("random", F.transform(F.split("token", ""), lambda c: F.least(F.ascii(c), F.lit(OTHER))).alias("c"))
+    pairs = F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1), lambda a, b: a * (OTHER + 1) + b)
+    steps = codes.select("random", F.explode(pairs).alias("step"))
+    place = [ALPHABET.find(chr(c)) + 1 for c in range(OTHER + 1)]
+    counts: Counter = Counter()
+    for r in steps.groupBy("random", "step").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r.random, place[r.step // (OTHER + 1)], place[r.step % (OTHER + 1)]] += r.n
     sums = {(y, a): sum(counts.get((y, a, b), 0) for b in range(STATES)) for y in (0, 1) for a in range(STATES)}
 
     def chance(y: int, a: int, b: int) -> float:

@@ -194,6 +194,31 @@ def test_secrets(spark, docs, empty):
     assert sum(r.hit for r in hits if r.y) >= 97 and not any(r.hit for r in hits if not r.y)
 
 
+def test_identifier_model_counts_all_rows(spark):
+    """Identifiers of a source with few of many rows are known, wherever the hashes of their ids lie."""
+    common = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("ordinary words of the usual kind").alias("text"))
+    rare = spark.range(6000, 6300).select(F.col("id").alias("doc_id"), F.lit("ZxqVwkJyzXqv").alias("text"))
+    samples = secrets.labelled_samples(common.union(rare))
+    counted = {r.token: r["count"] for r in samples.where("random = 0 AND token IN ('ordinary', 'ZxqVwkJyzXqv')").groupBy("token").count().collect()}
+    assert counted == {"ordinary": 6000, "ZxqVwkJyzXqv": 300}
+    pages = spark.range(5000).select(F.col("id").alias("page_id"), F.lit("https://host/ZxqVwk").alias("url"))
+    assert secrets.labelled_samples(common, pages).where("token LIKE '%/ZxqVwk'").count() == 5000
+
+
+def test_transition_ratios_equal_plain_counts(spark):
+    from math import log
+
+    tokens = [("abca", 0), ("a-é👍b", 0), ("zz9=", 1), ("abZ", 1), ("x", 1), (None, 0)]
+    place, counts = lambda c: secrets.ALPHABET.find(c) + 1, Counter()
+    for t, y in tokens:
+        counts.update((y, place(a), place(b)) for a, b in zip(t or "", (t or "")[1:]))
+    n = secrets.STATES
+    sums = {(y, a): sum(counts[y, a, b] for b in range(n)) for y in (0, 1) for a in range(n)}
+    chance = lambda y, a, b: (counts[y, a, b] + 0.5) / (sums[y, a] + 0.5 * n)
+    want = [log(chance(1, a, b) / chance(0, a, b)) for a in range(n) for b in range(n)]
+    assert secrets.train(spark.createDataFrame(tokens, "token string, random int")) == pytest.approx(want)
+
+
 VECTORS = [(i, [float(x) for x in np.random.default_rng(i).normal(0, 0.2, 8)]) for i in range(230)]
 VECTORS += [(50, VECTORS[50][1]), (300, [0.5] * 8), (301, [0.5] * 8), (302, [0.5] * 8), (350, None), (351, [float("nan")] * 8), (352, [None] + [0.1] * 7),
             (400, [float("inf")] * 8), (None, [0.1] * 8), (450, []), (500, [1e30] * 8), (501, [0.25, -0.25])]
