@@ -170,8 +170,8 @@ class LibraryEncoder:
 
     A chunk that repeats is encoded once while it is kept. Its pieces go to the
     library's model directly, in the byte alphabet that the library's
-    pre-tokenizer would write them in; texts with wider white space go through
-    the library's whole pipeline.
+    pre-tokenizer would write them in; texts with wider white space, and those
+    that hold the name of an added token, go through the library's whole pipeline.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -179,7 +179,8 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their names in a text are ordinary text
+        # The library cuts these out of a text before its pieces are found.
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.tokenize, self.pattern, self.alphabet = self.library.model.tokenize, regex.compile(pattern), byte_alphabet()
         self.chunks = ChunkTable(self._whole, lambda chunks: map(self._chunk, chunks))
 
@@ -193,7 +194,9 @@ class LibraryEncoder:
         return array("I", [token.id for piece in written for token in self.tokenize(piece)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.chunks.encode(texts)
+        whole = {i: self._whole(t) for i, t in enumerate(texts) if any(name in t for name in self.added)}
+        rest = iter(self.chunks.encode([t for i, t in enumerate(texts) if i not in whole] if whole else texts))
+        return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
 
 
 @lru_cache(maxsize=2)

@@ -275,6 +275,19 @@ def test_encoders_equal_their_libraries(text):
     assert other.encode([text])[0] == struct.pack(f"<{len(ids)}I", *ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD), max_size=20).map("".join), max_size=4))
+def test_token_encoder_equals_the_library_as_loaded(texts):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.LIBRARY_FILE)
+    texts = [*texts, "a <|endoftext|> b", "a b"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[-2] == [64, 220, 50256, 275]
+    got = pfor.library_encoder(queries.LIBRARY_FILE, P.PATTERN).encode(texts)
+    assert got == [struct.pack(f"<{len(ids)}I", *ids) for ids in want]
+
+
 def test_chunk_table_keeps_results_when_it_is_full():
     from parcelmart.llm.chunks import ChunkTable
 
