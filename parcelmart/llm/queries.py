@@ -10,7 +10,7 @@ from parcelmart.llm.bpe import bpe_round_trip
 from parcelmart.llm.common import small_batches, stored, table
 from parcelmart.llm.cotrain import score, train as train_quality
 from parcelmart.llm.decontaminate import contamination_digest, find_contamination
-from parcelmart.llm.histogram_sort import shard_by_bytes
+from parcelmart.llm.histogram_sort import byte_size, shard_by_bytes
 from parcelmart.llm.license_texts import TEMPLATES
 from parcelmart.llm.licenses import scan_licenses
 from parcelmart.llm.line_dedup import dedup_lines
@@ -34,10 +34,10 @@ def op1_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near-equal bytes."""
-    docs = table(spark, sf_dir, "documents")
-    docs = docs.select("doc_id", "text", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Size and digest are taken from the text that comes out of the exchange, so that the texts move.
     return shard_by_bytes(docs, n_shards=24, tolerance=0.01).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
+        "doc_id", byte_size().alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -128,6 +128,15 @@ def test_histogram_sort_balances_a_hot_text(spark):
     assert small.groupBy("text").agg(F.countDistinct("shard").alias("n")).where("n > 2").count() == 0
 
 
+def test_histogram_sort_query_moves_the_texts(spark):
+    out = queries.op2_histogram_sort(spark, SF_SMALL)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("crc32") < plan.index("Window")  # above the exchange that the window needs
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    got = {r.doc_id: (r.size, r.text_crc32) for r in out.collect()}
+    assert got == {d: (len(t) + 8, zlib.crc32(t)) for d, t in texts.items()}
+
+
 NOTICE = "Licensed under the Apache License, Version 2.0"
 MIT = TEMPLATES["mit-text"]
 
