@@ -62,7 +62,7 @@ def op5_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best inner products of every vector whose id is divisible by 50."""
-    vectors = stored(quantised(table(spark, sf_dir, "embeddings"), scale=256), "vectors")
+    vectors = stored(quantised(table(spark, sf_dir, "embeddings"), scale=256, repeats=True), "vectors")
     return top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 

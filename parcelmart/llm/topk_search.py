@@ -38,16 +38,17 @@ BLOCK_SCHEMA = pa.schema([
 SCORED = "query_id bigint, vec_id bigint, score bigint"
 
 
-def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
+def quantised(vectors: DataFrame, scale: int = 256, repeats: bool = False) -> DataFrame:
     """``vec_id, vector``: floor(scale * x) of each component, as double (whole numbers); unusable rows go.
 
     Unusable: a null id or vector, or a null or non-finite component. Identical
-    rows count once. A product beyond the long range stops at its end.
+    rows count once, or with ``repeats`` as often as they are there. A product beyond the long range stops at its end.
     """
     usable = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
     usable = usable.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     usable = usable.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))))
-    return usable.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("vector")).distinct()
+    whole = usable.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("vector"))
+    return whole if repeats else whole.distinct()
 
 
 def _matrix(rows: list, width: int) -> np.ndarray:
@@ -179,8 +180,8 @@ def top_k(
 
     Edge cases: with fewer than ``k`` candidates all are returned. Vectors of
     different lengths are compared over their common components. Ids with
-    several different vectors are candidates several times and, as queries,
-    ranked over all their vectors together. Empty tables give no rows. Extra
+    several rows are candidates several times and, as queries,
+    ranked over all their rows together. Empty tables give no rows. Extra
     columns are not read.
     """
     spark = vectors.sparkSession

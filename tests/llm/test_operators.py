@@ -246,6 +246,20 @@ def test_block_search(spark):
     assert [tuple(r) for r in topk_search.top_k(two.where("vec_id = 300"), two).collect()] == [(300, 1, 301, 8 * 128 * 128)]
 
 
+def test_block_search_query_keeps_repeated_rows(spark, tmp_path):
+    import duckdb
+
+    rows = [(i, [float(x) for x in np.random.default_rng(i).normal(0, 0.2, 8)]) for i in range(120)]
+    rows += [rows[i] for i in (0, 3, 3, 7, 50, 50, 90)] + [(400, [0.9] * 8)] * 4
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    sql = f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'"
+    with duckdb.connect() as duck:
+        duck.execute(sql)
+        want = duck.execute(queries.ORACLE["op6_block_search"]).fetchall()
+    got = [tuple(r) for r in queries.op6_block_search(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()]
+    assert sorted(got) == sorted(want) and len({r[2] for r in got if r[0] == 100}) < 5
+
+
 @cache
 def _library():
     import tiktoken
