@@ -43,22 +43,27 @@ def configure(spark: SparkSession, initial_partitions: int | None = None) -> Spa
     return spark
 
 
+# The scratch folder of a local application that names none, by application id.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables, from ``spark.checkpoint.dir``.
 
     Where it is unset, a session in one local process (tests, bench) gets a
-    scratch folder; any other session fails: executors do not share this
-    machine's folders.
+    scratch folder, the same one until the application ends. Any other session
+    fails without it: executors do not share this machine's folders. A ``file:``
+    path is taken to be a mount that they do share.
     """
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
         return value
-    master = spark.conf.get("spark.master", "")
-    if not re.match(r"local($|\[)", master):
+    if not re.match(r"local($|\[)", spark.conf.get("spark.master", "")):
         raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    value = tempfile.mkdtemp(prefix="parcelmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", value)
-    return value
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="parcelmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _LOCAL_SCRATCH[app]
 
 
 def delete_at_end(spark: SparkSession, path: str) -> None:
