@@ -214,7 +214,8 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = 50, block: int =
     blocks = -(-pairs.count() // block)
     docs = docs.select("doc_id", "text")
     pairs = pairs.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(max(blocks, 1))))
-    done = [_best_documents(pairs.where(F.col("block") == b), docs, k) for b in range(blocks)]
+    filled = sorted(r.block for r in pairs.select("block").distinct().collect())  # numbers of blocks
+    done = [_best_documents(pairs.where(F.col("block") == b), docs, k) for b in filled]
     if not done:
         kinds = [items.schema["item_id"].dataType.simpleString(), docs.schema["doc_id"].dataType.simpleString()]
         return spark.createDataFrame([], f"item_id {kinds[0]}, rank int, doc_id {kinds[1]}, score bigint")

@@ -46,7 +46,7 @@ CELLS, SPARE = 3, 1
 #: Partitions of the feature domain, each by its own seed.
 SCHEMES = 4
 #: Rounds of comparing with the smallest node of a signature.
-STARS = 2
+STARS = 4
 #: Rows of a star, or nodes of a block, that one task compares at a time; and the elements that a block holds, about.
 BLOCK, BLOCK_ELEMENTS = 512, 4_000_000
 
@@ -213,13 +213,19 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``shared`` whose signature holds more than one component, with their components and that signature's totals."""
+    """The rows of ``shared`` whose signature holds more than one component, with their components and that signature's totals.
+
+    Of signatures held by the same nodes (long sets share thousands) one stays; a 128-bit exclusive-or names the nodes.
+    """
     placed = shared.join(labels, "node")
     spread = placed.groupBy("signature").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("hub"),
         F.min_by("component", "node").alias("hub_component"), F.count(F.lit(1)).alias("held"), F.sum("n").alias("elements_held"),
+        *[F.bit_xor(F.xxhash64(F.lit(seed), F.col("node"))).alias(name) for name, seed in (("x", 1), ("y", 2))],
     )
-    return placed.join(spread.where("low < high").drop("low", "high"), "signature")
+    one = F.min(F.struct("signature", "hub", "hub_component", "elements_held")).alias("one")
+    spread = spread.where("low < high").groupBy("held", "x", "y").agg(one).select("held", "one.*")
+    return placed.join(spread, "signature")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3) -> DataFrame:
@@ -241,16 +247,17 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3) -> Dat
     signed = docs.select("doc_id", F.xxhash64(text_bytes()).alias("text_hash"), _signed(size, percent)(text_bytes()).alias("s"))
     members = stored(signed.select("doc_id", "text_hash", "s.n", "s.node", "s.signatures"), "members")
     nodes = members.where("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("signatures").alias("signatures"),
-        F.min(F.struct("text_hash", "doc_id")).alias("rep"),
+        F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.min(F.struct("text_hash", "doc_id")).alias("rep")
     )
-    nodes = stored(nodes, "nodes")
-    signs = nodes.select("node", "n", F.explode("signatures").alias("signature"))
-    crowded = signs.groupBy("signature").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("signature")
-    shared = stored(signs.join(stored(crowded, "crowded"), "signature"), "shared")
+    nodes = stored(nodes.withColumn("short", F.xxhash64("node")), "nodes")
+    # While most signatures are found to be a node's own, nodes go by a short name; one shared by two nodes only brings both along.
+    signs = members.where("n > 0").select(F.xxhash64("node").alias("short"), F.explode("signatures").alias("signature"))
+    crowded = signs.groupBy("signature").agg(F.min("short").alias("low"), F.max("short").alias("high")).where("low < high").select("signature")
+    shared = signs.join(stored(crowded, "crowded"), "signature").distinct()
+    shared = stored(shared.join(nodes.select("short", "node", "n"), "short").select("signature", "node", "n"), "shared")
     labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
     wanted = nodes.join(labels, "node", "left_semi").select("node", "n", F.col("rep")["text_hash"].alias("text_hash"), F.col("rep")["doc_id"].alias("at"))
-    sets = stored(_full_sets(docs, wanted, size), "sets")
+    sets = stored(_full_sets(docs, stored(wanted, "wanted"), size), "sets")
 
     for _ in range(STARS):
         left = stored(_open(shared, labels), "open")
