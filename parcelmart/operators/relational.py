@@ -75,7 +75,7 @@ def mark_hits(df: DataFrame, flag: str = "hit") -> DataFrame:
 
 def top1_per_group(
     df: DataFrame,
-    key: str,
+    key: str | list[str],
     order: list[Column],
     descending: bool,
     columns: list[str] | None = None,
@@ -88,11 +88,12 @@ def top1_per_group(
     limit), so a hot key (for instance the NULL group that collects every
     unmapped row) reaches its partition as one row per map task.
     """
-    columns = columns or [c for c in df.columns if c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    columns = columns or [c for c in df.columns if c not in keys]
     rest = [F.desc_nulls_last(c) if descending else F.asc_nulls_first(c) for c in columns]
     first = [o.desc_nulls_last() if descending else o.asc_nulls_last() for o in order]
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*first, *rest)))
-    return ranked.where(F.col("_rank") == 1).select(key, *columns)
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*first, *rest)))
+    return ranked.where(F.col("_rank") == 1).select(*keys, *columns)
 
 
 def conditional_sum(pred: Column | None, measure: Column, otherwise_zero: bool = True) -> Column:

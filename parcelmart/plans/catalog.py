@@ -14,12 +14,14 @@ from parcelmart.functions import arrays as _arr, text as _txt
 from parcelmart.functions import scalar as _x
 from parcelmart.functions.tokens import reset_url as _reset_url
 from parcelmart.operators import bucketize
+from parcelmart.operators.hot_keys import hot_key_join as _hot_key_join
+from parcelmart.operators.intervals import interval_join as _interval_join
 from parcelmart.operators.relational import anti as _anti, mark_hits as _mark_hits
 from parcelmart.plans import mart as _mart
 from parcelmart.plans.metrics import CANCELLED_STATES, RIDE_STATES
-from parcelmart.plans.runner import DEPENDS_ON, STEPS, run as _run, upstream_of
+from parcelmart.plans.runner import DEPENDS_ON, STEPS, run as _run, store_step, upstream_of
 from parcelmart.session import delete_at_end
-from parcelmart.sources.sinks import new_run_dir, write_table
+from parcelmart.sources.sinks import new_run_dir, published, write_table
 from parcelmart.sources.standins import STANDIN_FAMILY, StandinTables, standin_tables
 from parcelmart.sources.tables import load
 
@@ -58,7 +60,7 @@ def _stored_steps(spark: SparkSession, t: StandinTables, names: list[str]) -> di
     run_dir, _, stored = _STORED.setdefault(id(t), (new_run_dir(spark), t, {}))
     for name, step in STEPS:
         if name in names and name not in stored:
-            stored[name] = write_table(step(t, PARAMS, stored), f"{run_dir}/{name}")
+            stored[name] = store_step(step(t, PARAMS, stored), name, run_dir, t.buckets)
             delete_at_end(spark, run_dir)
     return dict(stored)
 
@@ -121,7 +123,7 @@ def distinct_counts(spark, sf_dir):
 @query
 def last_attempt(spark, sf_dir):
     """Latest attempt per invoice."""
-    t, d = _mart_inputs(spark, sf_dir, ["merchant_mapping", "service_type_map", "partner_invoices"])
+    t, d = _mart_inputs(spark, sf_dir, ["cube_merchants", "service_type_map", "partner_invoices", "deliveries"])
     return _mart.last_attempts(t, PARAMS, d)
 
 
@@ -218,12 +220,8 @@ def validity_join(spark, sf_dir):
     bk = t["bookings"].select("id", "taxi_type_id", "created_at_local")
     ge = types.select(F.col("taxi_type_id").alias("_ge_id"))
     tt = types.select(F.col("taxi_type_id").alias("_tt_id"), "name", "start_at", "end_at")
-    return (
-        bk.join(ge, bk["taxi_type_id"] == ge["_ge_id"])
-        .join(tt, bk["taxi_type_id"] == tt["_tt_id"], "left")
-        .where(_x.in_validity("created_at_local", "start_at", "end_at"))
-        .select("id", "taxi_type_id", "name", "start_at", "end_at")
-    )
+    valid = _interval_join(bk, tt, ("taxi_type_id", "_tt_id"), "created_at_local", "start_at", "end_at")
+    return valid.join(ge, valid["taxi_type_id"] == ge["_ge_id"]).select("id", "taxi_type_id", "name", "start_at", "end_at")
 
 
 @query
@@ -314,19 +312,19 @@ def fanout_join(spark, sf_dir):
     t, d = _mart_inputs(spark, sf_dir, ["booking_invoice"])
     bi = d["booking_invoice"].select(F.col("booking_code").alias("_b"), "invoice_number")
     bk = t["bookings"].select("id", "code")
-    return bk.join(bi, bk["code"] == bi["_b"], "left").groupBy("id").agg(F.count(F.lit(1)).alias("rows_after_join"))
+    # A code that holds a large share of the bookings would be one task's: such codes are joined apart.
+    return _hot_key_join(bk, bi, ("code", "_b"), "id").groupBy("id").agg(F.count(F.lit(1)).alias("rows_after_join"))
 
 
 @query
 def durations(spark, sf_dir):
     """ISO timeline text -> timestamps -> whole seconds and minutes."""
     t = _src(spark, sf_dir)
-    db = t["delivery_booking"].select("booking_code", "timeline")
-    bk = t["bookings"].select("code", "created_at")
-    created = _x.parse_ts_dropping_millis("created_at", strict=True)
-    alloc = _x.parse_iso_z(_x.json_text("timeline", "$.allocate"))
-    pick = _x.parse_iso_z(_x.json_text("timeline", "$.pickup"))
-    fail = _x.parse_iso_z(_x.json_text("timeline", "$.fail"))
+    # One parse of each text, at its scan; three timestamps cross the join.
+    parsed = t["delivery_booking"].select("booking_code", _x.json_fields("timeline", ["allocate", "pickup", "fail"]).alias("at"))
+    db = parsed.select("booking_code", *[_x.parse_iso_z(F.col("at")[k]).alias(k) for k in ("allocate", "pickup", "fail")])
+    bk = t["bookings"].select("code", _x.parse_ts_dropping_millis("created_at", strict=True).alias("created"))
+    created, alloc, pick, fail = (F.col(c) for c in ("created", "allocate", "pickup", "fail"))
     return db.join(bk, db["booking_code"] == bk["code"]).select(
         "booking_code",
         alloc.alias("allocation_time"),
@@ -341,10 +339,22 @@ def durations(spark, sf_dir):
 def mart_copy(spark, sf_dir):
     """Run the dimension steps, write them, read the published copy back."""
     t = _src(spark, sf_dir)
-    out = _run(spark, t, PARAMS, steps=["express_taxi_types", "merchants_snapshot"])
+    folder = new_run_dir(spark)
+    delete_at_end(spark, folder)
+    out = _run(spark, t, PARAMS, run_dir=folder, steps=["express_taxi_types", "merchants_snapshot"], buckets=t.buckets)
     return out["merchants_snapshot"].select("*")
 
 
+@query
+def published_attempts(spark, sf_dir):
+    """The attempts per invoice, published with the steps before them, and read by their name."""
+    t = _src(spark, sf_dir)
+    folder = new_run_dir(spark)
+    delete_at_end(spark, folder)
+    _run(spark, t, PARAMS, steps=["attempts_per_invoice"], buckets=t.buckets, publish_to=folder)
+    return published(spark, folder, "attempts_per_invoice")
+
+
 # --- snippet operators over the provided tables ---------------------------------------
 
 

@@ -24,8 +24,10 @@ Rewrites against the source text (same results, cheaper plans):
 * ROW_NUMBER()=1 per invoice breaks its ties on every column, so the source's
   DISTINCT before it is not needed (see ``operators.relational.top1_per_group``);
 * joins on other keys than the booking code run while each booking is still
-  one row, and tables keyed by another code (merchants, delivery info) are
-  joined to their mapping first, so the fanned-out rows are never re-shuffled.
+  one row, in a step of their own (``booking_facts``); tables keyed by another
+  code (merchants, vehicle types, delivery info) are joined to their mapping
+  first, in steps too. All of these are stored clustered by the booking code
+  (``runner.CLUSTERED``), so the joins on it shuffle nothing.
 """
 
 from __future__ import annotations
@@ -42,8 +44,8 @@ from parcelmart.functions.scalar import (
     day_before,
     elapsed_seconds,
     has_prefix,
-    in_validity,
     json_double,
+    json_fields,
     json_int,
     json_text,
     month_start,
@@ -58,6 +60,8 @@ from parcelmart.functions.scalar import (
     week_start,
     whole_minutes,
 )
+from parcelmart.operators.hot_keys import HOT_SHARE, hot_values, is_hot, salted_copies, salted_key
+from parcelmart.operators.intervals import with_valid_counts
 from parcelmart.operators.relational import (
     anti,
     conditional_sum,
@@ -99,6 +103,7 @@ class MartParams:
     on_error: str = "fail"  # unreadable first_at and first-attempt times: "fail", or "null"
     drop_unmapped: bool = False  # leave out bookings without an invoice (the source keeps them as one NULL group)
     single_type_join: bool = False  # count a booking once per valid type version, not once more per version
+    hot_share: float = HOT_SHARE  # booking codes above this share of the bookings are joined apart, salted
 
 
 # --- step 12 and 13: dimension copies -----------------------------------------------
@@ -294,23 +299,21 @@ def named_mapping(d: dict, t: dict) -> DataFrame:
     return mm.join(merchants, mm["partner_id"] == merchants["_m_id"], "left").select("_mm_code", "merchant_name")
 
 
-def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
-    """B7 (steps 6-7): 10 keys x 64 conditional measures, one aggregation pass.
+def booking_facts(t: dict, p: MartParams, d: dict) -> DataFrame:
+    """What the cube reads of each booking, with everything that joins by another key than the booking code.
 
-    ``d`` holds the derived tables: express_taxi_types, merchant_mapping,
-    service_type_map, booking_invoice, pax_fares.
-
-    Join order (all are left joins on booking columns, so they commute):
-    1. the delivery vehicle types, as a per-row weight (drops other bookings early);
-    2. joins on other booking keys while each booking is still one row
-       (unique_bookings by id, the area map by geohash/city/country);
-    3. every join on the booking code, consecutively, so the bookings are
-       hash-partitioned by code once -- the candidate join keeps only the code
-       as its key, the partition date is a residual condition; bookings with a
-       NULL code get a never-matching key spread by id (``spread_null_key``);
-    4. the month rate (small dimension);
-    5. one aggregation, sums weighted by the row multiplicity (type versions
-       times the counts of identical rows collapsed on the joined sides).
+    The joins on type, id, area and month read booking columns only, so they
+    commute with those on the code, and run while each booking is one row. The
+    source joins the type table twice (inner, then left with the validity test)
+    and uses neither copy's columns: a booking counts (versions of its type) x
+    (versions that hold ``created_at_local``) times. That weight comes from
+    ``with_valid_counts``; bookings of other families or without a valid
+    version drop out.
+
+    ``join_code`` is the key of the joins on the code: the code; for a NULL
+    code one that matches nothing, spread by id; for a code above
+    ``hot_share`` of the bookings (``is_hot``), the code salted by id.
+    Finding those is a counting pass that runs when this function is called.
     """
     since = day_before(p.metrics_from)
     bk = t["bookings"].where(
@@ -322,21 +325,11 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
         "country_id", "city_id", "date_local", "state", "distance", "commission", "pickup_geohash",
         "partition_date", "created_at_local",
     )
-    # The source joins the type table twice (inner, then left with the validity
-    # test) and uses neither copy's columns: each booking row counts
-    # (versions of its type) x (versions whose range holds created_at_local)
-    # times. That multiplicity is computed per row from the (small, bounded)
-    # version list of its type and becomes the row's weight; rows of other
-    # vehicle families or with no valid version drop out here.
-    versions = type_versions(d["express_taxi_types"])
-    valid = F.size(F.filter("_ranges", lambda r: in_validity(F.col("created_at_local"), r["s"], r["e"])))
-    rows = (
-        bk.join(versions, bk["taxi_type_id"] == versions["_v_id"])
-        .withColumn("_mult", valid.cast("bigint") if p.single_type_join else F.col("_n_versions") * valid)
-        .where(F.col("_mult") > 0)
-        .drop("_v_id", "_n_versions", "_ranges")
-    )
-
+    hot = hot_values(bk, "code", p.hot_share)
+    versions = d["express_taxi_types"].select(F.col("taxi_type_id").alias("key"), F.col("start_at").alias("start"), F.col("end_at").alias("end"))
+    rows = with_valid_counts(bk, versions, "taxi_type_id", "created_at_local")
+    weight = F.col("n_valid") if p.single_type_join else F.col("n_versions") * F.col("n_valid")
+    rows = rows.withColumn("weight", weight).where(F.col("weight") > 0)
     ub = t["unique_bookings"].where(parts_text("year", "month", "day") >= since).select(
         "last_id", "first_at", "first_allocated"
     )
@@ -352,66 +345,102 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
         & (area["_a_country"] == F.col("country_id")),
         "left",
     )
+    rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
+    code = F.col("code")
+    join_code = F.when(is_hot(code, hot), salted_key(code, F.col("id"))).otherwise(spread_null_key(code, F.col("id")))
+    return rows.select(
+        join_code.alias("join_code"), is_hot(code, hot).alias("is_hot"), "code", "fare", "is_unique_booking", "hour_local", "country_name",
+        "city_name", "date_local", "state", "distance", "commission", "partition_date", "first_at", "first_allocated", "area",
+        "exchange_one_usd", "weight",
+    )
+
 
-    # Bookings with a NULL code match nothing below; their key is spread by id.
-    rows = rows.withColumn("_jk", spread_null_key(F.col("code"), F.col("id")))
-    rows = anti(rows, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("_jk") == F.col("_tb_code"))
-    mm = named_mapping(d, t)
+def cube_merchants(t: dict, p: MartParams, d: dict) -> DataFrame:
+    """Merchant names by booking code, identical rows as one with their number (``copies``)."""
+    return weighted_distinct(named_mapping(d, t).withColumnRenamed("_mm_code", "code"), "code", "copies")
+
+
+def cube_candidates(t: dict, p: MartParams, d: dict) -> DataFrame:
+    """Won candidates of the delivery family by booking code, identical rows as one with their number (``copies``)."""
+    ttv = t["taxi_types"].where(F.col("taxi_type_simple") == p.type_family).select(F.col("id").cast("string").alias("_ttv_id"))
+    since = day_before(p.metrics_from)
+    cm = t["candidate_metadata"].where((F.col("winner") == "true") & (F.col("partition_date") >= since))
+    # Candidates count on their booking's date only; the dates of the cube's bookings prune the folders of the others at run time.
+    dates = t["bookings"].where((F.col("partition_date") >= since) & (F.col("date_local") >= p.metrics_from)).select("partition_date").distinct()
+    cm = cm.join(dates, "partition_date", "left_semi")
+    won = cm.join(ttv, F.col("vehicle_type_id") == F.col("_ttv_id")).select(
+        "booking_code", "partition_date", "awarded_time", "cancel_passenger_time", "cancel_driver_time", "cancel_operator_time"
+    )
+    return weighted_distinct(won, "booking_code", "copies")
+
+
+def _cube_sides(t: dict, p: MartParams, d: dict) -> list[tuple[DataFrame, str, str | None]]:
+    """What joins the bookings by their code: frame, key, and the column that counts identical rows, if any."""
+    since = day_before(p.metrics_from)
     bs = d["service_type_map"].select(F.col("booking_code").alias("_bs_code"), "service_type")
-    bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"))
     pf = d["pax_fares"].select(F.col("booking_code").alias("_pf_code"), "pax_Fare")
-    rec = t["receipts"].where(parts_text("year", "month", "day") >= since).select(
-        F.col("booking_code").alias("_rec_code"), "tolls_and_surcharges", "booking_fee"
-    )
-    promo = t["promo_bookings"].where(
-        F.col("date_local") >= F.to_timestamp(F.lit(p.metrics_from), "yyyy-MM-dd")
-    ).select(F.col("code").alias("_promo_code"), "promo_expense_local", F.lit(True).alias("promo"))
     incentive = (
         t["incentive_payouts"].where(F.col("date_partition") >= since)
         .groupBy(F.col("booking_code").alias("_inc_code"))
         .agg(F.sum("payout_per_ride").alias("incentive_payout"))
     )
-    ttv = t["taxi_types"].where(F.col("taxi_type_simple") == p.type_family).select(F.col("id").alias("_ttv_id"))
-    cm = t["candidate_metadata"]
-    cmet = (
-        cm.where((F.col("winner") == "true") & (F.col("partition_date") >= since))
-        .join(ttv, ttv["_ttv_id"].cast("string") == cm["vehicle_type_id"])
-        .select(
-            F.col("booking_code").alias("_cm_code"), F.col("partition_date").alias("_cm_pdate"),
-            "awarded_time", "cancel_passenger_time", "cancel_driver_time", "cancel_operator_time",
-        )
+    mm = d["cube_merchants"].select(F.col("code").alias("_mm_code"), "merchant_name", F.col("copies").alias("_w_mm"))
+    bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"))
+    rec = t["receipts"].where(parts_text("year", "month", "day") >= since).select(
+        F.col("booking_code").alias("_rec_code"), "tolls_and_surcharges", "booking_fee"
     )
+    promo = t["promo_bookings"].where(
+        F.col("date_local") >= F.to_timestamp(F.lit(p.metrics_from), "yyyy-MM-dd")
+    ).select(F.col("code").alias("_promo_code"), "promo_expense_local", F.lit(True).alias("promo"))
+    cm = d["cube_candidates"].withColumnsRenamed({"booking_code": "_cm_code", "partition_date": "_cm_pdate", "copies": "_w_cm"})
     # Sides unique per booking join as they are; sides that may hold identical
     # rows are collapsed to distinct rows with a count that joins the weight.
-    for right, key in ((bs, "_bs_code"), (pf, "_pf_code"), (incentive, "_inc_code")):
-        rows = rows.join(right, F.col("_jk") == right[key], "left")
-    weights = []
-    for right, key, tag in ((mm, "_mm_code", "mm"), (bi, "_bi_code", "bi"), (rec, "_rec_code", "rec"),
-                            (promo, "_promo_code", "promo")):
-        side = weighted_distinct(right, key, f"_w_{tag}")
-        rows = rows.join(side, F.col("_jk") == side[key], "left")
-        weights.append(F.coalesce(F.col(f"_w_{tag}"), F.lit(1)))
-    cm_side = weighted_distinct(cmet, "_cm_code", "_w_cm")
-    # Residual (not a join key): keeps this join on the code partitioning.
-    same_day = F.coalesce(F.col("partition_date") == cm_side["_cm_pdate"], F.lit(False))
-    rows = rows.join(cm_side, (F.col("_jk") == cm_side["_cm_code"]) & same_day, "left")
-    weights.append(F.coalesce(F.col("_w_cm"), F.lit(1)))
-
-    for w in weights:
-        rows = rows.withColumn("_mult", F.col("_mult") * w)
-    rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
-    return cube_from_rows(rows, weight=F.col("_mult"), strict=p.on_error == "fail")
+    return [
+        (bs, "_bs_code", None), (pf, "_pf_code", None), (incentive, "_inc_code", None), (mm, "_mm_code", "_w_mm"),
+        (weighted_distinct(bi, "_bi_code", "_w_bi"), "_bi_code", "_w_bi"), (weighted_distinct(rec, "_rec_code", "_w_rec"), "_rec_code", "_w_rec"),
+        (weighted_distinct(promo, "_promo_code", "_w_promo"), "_promo_code", "_w_promo"), (cm, "_cm_code", "_w_cm"),
+    ]
+
 
+def _with_cube_sides(rows: DataFrame, tests: DataFrame, sides: list) -> DataFrame:
+    """Bookings that are no test, with every side joined by ``join_code`` and the sides' counts in ``weight``."""
+    rows = anti(rows, tests, F.col("join_code") == F.col("_tb_code"))
+    for side, key, copies in sides:
+        on = F.col("join_code") == F.col(key)
+        if key == "_cm_code":
+            # Residual (not a join key): keeps this join on the code's partitioning.
+            on = on & F.coalesce(F.col("partition_date") == F.col("_cm_pdate"), F.lit(False))
+        rows = rows.join(side, on, "left")
+        if copies:
+            rows = rows.withColumn("weight", F.col("weight") * F.coalesce(F.col(copies), F.lit(1)))
+    return rows
+
+
+def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
+    """B7 (steps 6-7): 10 keys x 64 conditional measures, one aggregation pass.
 
-def type_versions(types: DataFrame) -> DataFrame:
-    """Per vehicle-type id: number of versions and their validity ranges.
+    ``d`` holds the derived tables: booking_facts, cube_merchants,
+    cube_candidates, service_type_map, booking_invoice, pax_fares.
 
-    A dimension of a few versions per id, so the list per id is small and bounded.
+    All joins are on ``join_code``, one after the other. Over stored steps and
+    sources clustered by the code they shuffle nothing, nor do the counts of
+    identical rows in front of them; the one shuffle is the aggregation's.
+    Bookings of hot codes (at most 1/``hot_share`` codes, named by the facts)
+    take the same joins with salted copies of the sides' rows of those codes.
+    The sums are weighted by the number of times that a row stands for itself.
     """
-    return types.groupBy(F.col("taxi_type_id").alias("_v_id")).agg(
-        F.count(F.lit(1)).alias("_n_versions"),
-        F.collect_list(F.struct(F.col("start_at").alias("s"), F.col("end_at").alias("e"))).alias("_ranges"),
-    )
+    facts = d["booking_facts"]
+    sides = _cube_sides(t, p, d)
+    tests = t["test_bookings"].select(F.col("code").alias("_tb_code"))
+    hot = [r.code for r in facts.where("is_hot").select("code").distinct().collect()]
+    if not hot:
+        return cube_from_rows(_with_cube_sides(facts, tests, sides), weight=F.col("weight"), strict=p.on_error == "fail")
+    cold = [(side.where(~is_hot(F.col(key), hot)), key, copies) for side, key, copies in sides]
+    warm = [(salted_copies(side.where(is_hot(F.col(key), hot)), key, key), key, copies) for side, key, copies in sides]
+    warm_tests = salted_copies(tests.where(is_hot(F.col("_tb_code"), hot)).distinct(), "_tb_code", "_tb_code")
+    rows = _with_cube_sides(facts.where("NOT is_hot"), tests.where(~is_hot(F.col("_tb_code"), hot)), cold)
+    rows = rows.unionByName(_with_cube_sides(facts.where("is_hot"), warm_tests, warm))
+    return cube_from_rows(rows, weight=F.col("weight"), strict=p.on_error == "fail")
 
 
 def cube_from_rows(rows: DataFrame, weight: Column | None = None, strict: bool = True) -> DataFrame:
@@ -487,6 +516,9 @@ def cube_from_rows(rows: DataFrame, weight: Column | None = None, strict: bool =
 
 # --- step 8/9: attempts per invoice ---------------------------------------------------
 
+# Columns of the delivery's timeline and their keys in its JSON text.
+TIMELINE = {"allocation_time": "allocate", "pickup_time": "pickup", "dropoff_time": "dropoff", "fail_time": "fail"}
+
 def _partner_bookings(t: dict, p: MartParams, types: DataFrame, columns: list[str]) -> DataFrame:
     """Partner bookings of the delivery family from ``attempts_from`` on.
 
@@ -500,26 +532,34 @@ def _partner_bookings(t: dict, p: MartParams, types: DataFrame, columns: list[st
     return bk.join(ids, bk["taxi_type_id"] == ids["_ge_id"], "left_semi")
 
 
-def _delivered(t: dict, p: MartParams) -> DataFrame:
-    """Booking codes with a delivery row and a delivery-info row of ``year``."""
-    db = t["delivery_booking"].where(F.col("year") == p.year).select("booking_code", "delivery_code")
-    info = t["delivery_info"].where(F.col("year") == p.year).select(F.col("delivery_code").alias("_i_code"))
-    return db.join(info, db["delivery_code"] == info["_i_code"], "left_semi").select("booking_code")
+def deliveries(t: dict, p: MartParams, d: dict) -> DataFrame:
+    """Delivery rows of ``year`` with an info row of ``year``: quoted amount and timeline, by booking code.
+
+    Each JSON text is parsed once, at its scan, and goes no further.
+    """
+    timeline = json_fields("timeline", list(TIMELINE.values()))
+    db = t["delivery_booking"].where((F.col("year") == p.year) & F.col("booking_code").isNotNull()).select(
+        "booking_code", F.col("delivery_code").alias("_db_delivery"), timeline.alias("at")
+    )
+    db = db.select("booking_code", "_db_delivery", *[parse_iso_z(F.col("at")[key]).alias(name) for name, key in TIMELINE.items()])
+    info = t["delivery_info"].where(F.col("year") == p.year).select(
+        F.col("delivery_code").alias("_i_code"), json_double("quote", "$.amount").alias("amount")
+    )
+    return db.join(info, db["_db_delivery"] == info["_i_code"]).select("booking_code", "amount", *TIMELINE)
 
 
 def partner_invoices(t: dict, p: MartParams, d: dict) -> DataFrame:
-    """Partner bookings with their invoices (a row each, NULL without one): read by steps 8 and 10."""
+    """Partner bookings with their invoices (a row each, NULL without one) and ``is_test``: read by steps 8 and 10."""
     b = _partner_bookings(
         t, p, d["express_taxi_types"],
         ["code", "state", "created_at", "distance", "fare", "commission", "pick_up_time_local", "country_name",
          "city_name", "date_local", "country_id", "taxi_type_id", "hour_local", "is_unique_booking"],
     )
     bi = d["booking_invoice"].select(F.col("booking_code").alias("_bi_code"), "invoice_number")
-    return b.join(bi, F.col("code") == bi["_bi_code"], "inner" if p.drop_unmapped else "left").drop("_bi_code")
-
-
-def _without_tests(df: DataFrame, t: dict) -> DataFrame:
-    return anti(df, t["test_bookings"].select(F.col("code").alias("_tb_code")), F.col("code") == F.col("_tb_code"))
+    tests = t["test_bookings"].select(F.col("code").alias("_tb_code")).distinct()
+    rows = b.join(bi, F.col("code") == bi["_bi_code"], "inner" if p.drop_unmapped else "left").drop("_bi_code")
+    rows = rows.join(tests, F.col("code") == F.col("_tb_code"), "left")
+    return rows.withColumn("is_test", F.col("_tb_code").isNotNull()).drop("_tb_code")
 
 
 def attempts_per_invoice(t: dict, p: MartParams, d: dict) -> DataFrame:
@@ -529,10 +569,12 @@ def attempts_per_invoice(t: dict, p: MartParams, d: dict) -> DataFrame:
     test bookings are counted; ``exclude_test_in_attempts`` removes them.
     Distinct counts are two aggregations: per (invoice, code), then per invoice.
     """
-    rows = d["partner_invoices"].select("invoice_number", "code", "is_unique_booking")
+    rows = d["partner_invoices"]
     if p.exclude_test_in_attempts:
-        rows = _without_tests(rows, t)
-    rows = rows.join(_delivered(t, p), F.col("code") == F.col("booking_code"), "left_semi")
+        rows = rows.where(~F.col("is_test"))
+    rows = rows.select("invoice_number", "code", "is_unique_booking").join(
+        d["deliveries"].select("booking_code"), F.col("code") == F.col("booking_code"), "left_semi"
+    )
     per_code = rows.groupBy("invoice_number", "code").agg(
         F.max(F.col("is_unique_booking") == "t").alias("_ub")
     )
@@ -544,9 +586,6 @@ def attempts_per_invoice(t: dict, p: MartParams, d: dict) -> DataFrame:
 
 # --- step 10/11: invoice summary ------------------------------------------------------
 
-# Columns of the delivery's timeline and their keys in its JSON text.
-TIMELINE = {"allocation_time": "allocate", "pickup_time": "pickup", "dropoff_time": "dropoff", "fail_time": "fail"}
-
 # The output columns of the last attempt and the keys of the summary.
 FINAL_COLUMNS = [
     "invoice_number", "booking_code", "state", "created_at", "distance", "dax_fare", "dax_fare_usd",
@@ -567,22 +606,22 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
 
     Ties on ``created_at`` resolve by booking code, then by the other columns.
     """
-    rows = _without_tests(d["partner_invoices"].drop("is_unique_booking", "hour_local", "taxi_type_id"), t)
-    mm = named_mapping(d, t).distinct()  # the top-1 below ignores repeated rows
+    rows = d["partner_invoices"].where(~F.col("is_test")).drop("is_test", "is_unique_booking", "hour_local", "taxi_type_id")
+    delivered = d["deliveries"].withColumnRenamed("booking_code", "_db_code")
+    # The winner of an invoice is found on three columns; LEFT JOINs made inner by
+    # the source's WHERE on booking.year and info.year ask that its code was delivered.
+    keys = rows.select("invoice_number", "created_at", F.col("code").alias("booking_code")).join(
+        delivered.select("_db_code"), F.col("booking_code") == F.col("_db_code"), "left_semi"
+    )
+    winners = top1_per_group(keys, "invoice_number", [F.col("created_at"), F.col("booking_code")], descending=True)
+    winners = winners.select(F.col("invoice_number").alias("_w_invoice"), F.col("created_at").alias("_w_created"), F.col("booking_code").alias("_w_code"))
+    won = F.col("invoice_number").eqNullSafe(F.col("_w_invoice")) & F.col("created_at").eqNullSafe(F.col("_w_created"))
+    rows = rows.join(winners, (F.col("code") == F.col("_w_code")) & won, "left_semi")
+    # Only winners meet the wide sides.
+    mm = d["cube_merchants"].select(F.col("code").alias("_mm_code"), "merchant_name")
     bs = d["service_type_map"].select(F.col("booking_code").alias("_bs_code"), "service_type")
-    # JSON is parsed at the scans and its texts are dropped. Delivery rows meet
-    # their info rows first, so every join of the bookings is on the booking code.
-    at = {name: parse_iso_z(json_text("timeline", f"$.{key}")).alias(name) for name, key in TIMELINE.items()}
-    db = t["delivery_booking"].where(F.col("year") == p.year).select(
-        F.col("booking_code").alias("_db_code"), F.col("delivery_code").alias("_db_delivery"), *at.values()
-    )
-    info = t["delivery_info"].where(F.col("year") == p.year).select(
-        F.col("delivery_code").alias("_i_code"), json_double("quote", "$.amount").alias("amount")
-    )
-    delivered = db.join(info, db["_db_delivery"] == info["_i_code"]).drop("_db_delivery", "_i_code")
     for right, key in ((mm, "_mm_code"), (bs, "_bs_code")):
         rows = rows.join(right, F.col("code") == right[key], "left")
-    # LEFT JOINs made inner by the source's WHERE on booking.year and info.year.
     rows = rows.join(delivered, F.col("code") == delivered["_db_code"])
     rows = with_month_rate(rows, t["exchange_rates"], "country_id", F.to_date(F.col("date_local")))
     x, fare, amount = F.col("exchange_one_usd"), F.col("fare"), F.col("amount")
@@ -605,16 +644,16 @@ def last_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
         "service_type",
         *TIMELINE,
     )
-    # The source de-duplicates the 20 columns before ROW_NUMBER. With ties broken
-    # on every column the chosen values are the same with or without duplicates,
-    # so that extra shuffle of the wide rows is skipped.
-    return top1_per_group(candidates, "invoice_number", [F.col("created_at"), F.col("booking_code")],
-                          descending=True, columns=FINAL_COLUMNS[1:])
+    # A winner may have several rows still (quotes, rates, merchants): the largest
+    # by the other columns, among few rows of one code and invoice. Equal rows
+    # give the same choice, so the source's DISTINCT is not needed.
+    return top1_per_group(candidates, ["booking_code", "invoice_number"], [F.col("created_at")],
+                          descending=True, columns=[c for c in FINAL_COLUMNS if c not in ("booking_code", "invoice_number")]).select(*FINAL_COLUMNS)
 
 
 def first_attempts(t: dict, p: MartParams, d: dict) -> DataFrame:
     """Per invoice, the earliest attempt (by ``created_at`` text, NULL last)."""
-    rows = _without_tests(d["partner_invoices"].select("invoice_number", "code", "created_at", "hour_local"), t).select(
+    rows = d["partner_invoices"].where(~F.col("is_test")).select(
         "invoice_number", F.col("code").alias("booking_code"), "created_at",
         F.col("hour_local").alias("invoice_hour_local"),
     )  # no DISTINCT needed before the top-1 (see last_attempts)

@@ -67,9 +67,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def delete_at_end(spark: SparkSession, path: str) -> None:
-    """Have a folder of intermediate tables removed when the application ends."""
+    """Make a folder for intermediate tables, and have it removed when the application ends."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(place)  # a folder that is not there yet would not be remembered
+    fs.deleteOnExit(place)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "parcelmart") -> SparkSession:

@@ -26,6 +26,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelmart.session import checkpoint_dir, delete_at_end
+from parcelmart.sources.sinks import write_clustered, write_table
 from parcelmart.sources.tables import listing, load
 
 # Shared pieces ------------------------------------------------------------------
@@ -300,10 +301,18 @@ WHERE k.id % 3 <> 1
 
 MART_SOURCES = [name for name in STANDIN_SQL if name != "bk_keys"]
 
-# Sources stored partitioned by the string column ``year``, like the source
-# tables' date partitions: ``year = '2018'`` filters then prune directories.
-PARTITIONED_BY_YEAR = {"bookings", "delivery_booking", "delivery_info", "express_event", "booking_service",
-                       "receipts", "unique_bookings"}
+# Sources stored in folders by a string column, like the source tables' date
+# partitions: ``year = '2018'`` and ``partition_date >= ...`` then prune folders.
+PARTITIONED_BY = {
+    "bookings": "year", "delivery_booking": "year", "delivery_info": "year", "express_event": "year", "booking_service": "year",
+    "receipts": "year", "unique_bookings": "year", "candidate_metadata": "partition_date",
+}
+
+# Sources that the cube joins by the booking code are stored clustered by it, as large stored tables joined by one key are.
+CLUSTERED_BY_CODE = {"receipts": "booking_code", "promo_bookings": "code", "incentive_payouts": "booking_code", "test_bookings": "code"}
+
+# A bucket for each so many bytes of the provided tables (eight at least).
+BUCKET_BYTES = 256 * 1024 * 1024
 
 # Parameter values for the stand-in data (the mart itself takes them as arguments).
 STANDIN_FAMILY = "Courier"
@@ -320,6 +329,14 @@ def standin_ctes(names=None) -> str:
 BASE_TABLES = ("orders", "customer", "nation", "lineitem", "events", "supplier")
 
 
+def _escaped(sql: str, frames) -> str:
+    """``sql`` with the braces of its JSON texts doubled, those around the names of ``frames`` kept."""
+    sql = sql.replace("{", "{{").replace("}", "}}")
+    for name in frames:
+        sql = sql.replace(f"{{{{{name}}}}}", f"{{{name}}}")
+    return sql
+
+
 class StandinTables(Mapping):
     """The mart's sources over one folder of provided tables, each derived when first asked for.
 
@@ -332,22 +349,31 @@ class StandinTables(Mapping):
         self.spark, self.sf_dir = spark, sf_dir
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/parcelmart-standins-{uuid.uuid4().hex[:12]}"
         self.made: dict[str, DataFrame] = {}
+        size = sum(n for _, n, _ in listing(spark, sf_dir, BASE_TABLES))
+        #: Buckets of the tables joined by the booking code: of these, and of the steps made from them.
+        self.buckets = min(max(8, -(-size // BUCKET_BYTES)), 100_000)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in STANDIN_SQL:
             raise KeyError(name)
         if name not in self.made:
             sql = STANDIN_SQL[name]
+            frames = {}
             for other in (*BASE_TABLES, "bk_keys"):
                 if other != name and re.search(rf"\b(?:FROM|JOIN) {other}\b", sql):
-                    source = self["bk_keys"] if other == "bk_keys" else load(self.spark, self.sf_dir, other)
-                    source.createOrReplaceTempView(other)
-            writer = self.spark.sql(sql).write
-            if name in PARTITIONED_BY_YEAR:
-                writer = writer.partitionBy("year")
-            writer.parquet(f"{self.base}/{name}")
+                    # Frames are passed by name, so that no view of the caller's session is replaced.
+                    frames[other] = self["bk_keys"] if other == "bk_keys" else load(self.spark, self.sf_dir, other)
+                    sql = re.sub(rf"\b(FROM|JOIN) {other}\b", rf"\1 {{{other}}}", sql)
+            made = self.spark.sql(_escaped(sql, frames), **frames)
+            partition_by = [PARTITIONED_BY[name]] if name in PARTITIONED_BY else None
+            if partition_by == ["partition_date"]:
+                made = made.repartition("partition_date")  # a file a day, instead of one from every task
+            path = f"{self.base}/{name}"
+            if name in CLUSTERED_BY_CODE:
+                self.made[name] = write_clustered(made, path, CLUSTERED_BY_CODE[name], self.buckets, partition_by)
+            else:
+                self.made[name] = write_table(made, path, partition_by)
             delete_at_end(self.spark, self.base)
-            self.made[name] = self.spark.read.parquet(f"{self.base}/{name}")
         return self.made[name]
 
     def __iter__(self):
