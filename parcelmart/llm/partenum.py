@@ -18,11 +18,14 @@ another partition of the domain as well. A pair that agrees in nothing but empty
 subsets has this on both sides, so it meets under the next partition; under
 the last one (``SCHEMES``), empty subsets are signed like any other.
 
-Equal sets are one node from the start. Nodes that share a signature are
-compared on their full sets, never all with all: first each with the smallest
-node of the signature (a star), for ``STARS`` rounds, and the components are
-contracted after each; what is left of a signature then, in more than one
-component, is compared in blocks, a task for each two blocks.
+Equal sets are one node from the start. Nodes that share a signature are first
+compared with its smallest node (a star), for ``STARS`` rounds, and the
+components are contracted after each; what is left of a signature then, in more
+than one component, is compared in blocks, a task for each two blocks. A pair is
+looked at by its sketches first, the numbers of elements in ``PLACES`` places:
+sets differ in at least as many elements as their sketches do, so a pair whose
+sketches differ too much is out for certain. Only pairs that are left meet with
+their full sets, which decide.
 """
 
 from __future__ import annotations
@@ -47,8 +50,10 @@ CELLS, SPARE = 3, 1
 SCHEMES = 4
 #: Rounds of comparing with the smallest node of a signature.
 STARS = 4
-#: Rows of a star, or nodes of a block, that one task compares at a time; and the elements that a block holds, about.
-BLOCK, BLOCK_ELEMENTS = 512, 4_000_000
+#: Parts of a star, and nodes of a block.
+BLOCK = 512
+#: Places of a sketch, a byte each.
+PLACES = 128
 
 SUBSETS = list(combinations(range(CELLS), CELLS - SPARE))
 
@@ -124,19 +129,41 @@ def _signed(size: int, percent: int):
     return sign
 
 
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """How many elements fall on each place, 255 at most."""
+    return np.minimum(np.bincount((elements & np.uint64(PLACES - 1)).astype(np.intp), minlength=PLACES), 255).astype(np.uint8)
+
+
+def near(sketches: np.ndarray, others: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray, percent: int) -> np.ndarray:
+    """May the sets be linked? Never false of sets that are; row by row, or one against all."""
+    apart = np.abs(sketches.astype(np.int16) - others).sum(axis=-1, dtype=np.int64)
+    return (100 + percent) * apart <= (100 - percent) * (sizes + other_sizes)
+
+
 def _sets(size: int):
-    """Node and full set (as bytes) of a text."""
-    kind = pa.struct([("node", pa.binary()), ("elements", pa.binary())])
+    """Node, sketch and full set (as bytes) of a text."""
+    kind = pa.struct([("node", pa.binary()), ("sketch", pa.binary()), ("elements", pa.binary())])
 
-    @arrow_udf("struct<node:binary,elements:binary>")
+    @arrow_udf("struct<node:binary,sketch:binary,elements:binary>")
     def made(texts: pa.Array) -> pa.Array:
         found = (shingle_set(text.as_py(), size) for text in texts)
-        return pa.array([{"node": node_of(f), "elements": f.tobytes()} for f in found], kind)
+        return pa.array([{"node": node_of(f), "sketch": sketch(f).tobytes(), "elements": f.tobytes()} for f in found], kind)
 
     # Marked so that Spark does not move it below the join, to texts that no pair needs.
     return made.asNondeterministic()
 
 
+def _near(percent: int):
+    @arrow_udf("boolean")
+    def able(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
+        if not len(a):
+            return pa.array([], pa.bool_())
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, PLACES) for x in (a, b))
+        return pa.array(near(a, b, n_a.to_numpy(), n_b.to_numpy(), percent))
+
+    return able
+
+
 def _links(pairs: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in pairs], pa.binary()), "b": pa.array([b for _, b in pairs], pa.binary())})
 
@@ -161,39 +188,43 @@ def _star(percent: int):
 
 
 def _blocks(percent: int):
-    """Rows sorted by ``signature, i, j, side``: the links that join components, fewer than nodes."""
+    """Rows sorted by ``signature, i, j``: the pairs of different components whose sketches are near."""
+
+    def pairs(key: tuple, sides: list) -> list:
+        left = sides[0]
+        right = left if key[1] == key[2] else sides[1]
+        if not left or not right:
+            return []
+        sketches = np.frombuffer(b"".join(r[2] for r in right), np.uint8).reshape(-1, PLACES)
+        sizes, names = np.array([r[3] for r in right]), {c: i for i, c in enumerate(sorted({r[1] for r in left + right}))}
+        component = np.array([names[r[1]] for r in right])
+        out = []
+        for at, (node, own, its, n) in enumerate(left):
+            able = near(np.frombuffer(its, np.uint8), sketches, n, sizes, percent) & (component != names[own])
+            if left is right:
+                able[:at] = False
+            out += [(min(node, right[k][0]), max(node, right[k][0])) for k in np.flatnonzero(able)]
+        return out
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, kept, parent = None, [], {}
-
-        def root(c: bytes) -> bytes:
-            while parent.get(c, c) != c:
-                c = parent[c]
-            return c
-
+        key, sides = None, [[], []]
         for batch in batches:
             out = []
-            names = ("signature", "i", "j", "side", "component", "elements")
-            for signature, i, j, side, component, elements in zip(*(batch.column(c).to_pylist() for c in names)):
+            columns = (batch.column(c).to_pylist() for c in ("signature", "i", "j", "side", "node", "component", "sketch", "n"))
+            for signature, i, j, side, *row in zip(*columns):
                 if key != (signature, i, j):
-                    key, kept, parent = (signature, i, j), [], {}
-                elements = np.frombuffer(elements, np.uint64)
-                # Rows of the first block are kept; those of the second, or of a block with itself, meet them.
-                if side or i == j:
-                    for other, held in kept:
-                        a, b = root(component), root(other)
-                        if a != b and linked(elements, held, percent):
-                            parent[max(a, b)] = min(a, b)
-                            out.append((min(a, b), max(a, b)))
-                if not side:
-                    kept.append((component, elements))
+                    out += pairs(key, sides) if key else []
+                    key, sides = (signature, i, j), [[], []]
+                sides[side].append(row)
             yield _links(out)
+        if key:
+            yield _links(pairs(key, sides))
 
     return compare
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, n, elements`` of the ``wanted`` nodes, from one text of each.
+    """``node, n, sketch, elements`` of the ``wanted`` nodes, from one text of each.
 
     Rows are found by the hash of the text, then by the id, so that null or
     repeated ids bring along no other texts.
@@ -202,12 +233,29 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     docs = docs.withColumn("text_hash", F.xxhash64(text_bytes()))
     found = docs.join(wanted, (F.col("text_hash") == F.col("want_hash")) & F.col("doc_id").eqNullSafe(F.col("want_at")))
     found = found.select("want", "n", _sets(size)(text_bytes()).alias("made")).where(F.col("made")["node"] == F.col("want"))
-    return found.select(F.col("want").alias("node"), "n", F.col("made")["elements"].alias("elements")).dropDuplicates(["node"])
+    return found.select(F.col("want").alias("node"), "n", F.col("made")["sketch"].alias("sketch"), F.col("made")["elements"].alias("elements")).dropDuplicates(["node"])
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the distinct pairs (``hub, node``) that link by their full sets: ``a, b``.
+
+    A hub's set is sent once to each of at most ``BLOCK`` parts of its star.
+    """
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(BLOCK)).cast("int"))
+    full = sets.select("node", "elements")
+    rows = pairs.join(full, "node").select("hub", "part", F.lit(1).alias("side"), "node", "elements")
+    hubs = pairs.select("hub", "part").distinct().join(full, F.col("hub") == F.col("node"))
+    rows = rows.unionByName(hubs.select("hub", "part", F.lit(0).alias("side"), "node", "elements"))
+    rows = rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "side")
+    return rows.mapInArrow(_star(percent), "a binary, b binary")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` after ``links`` between components."""
-    moved = components(links).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    """``labels`` after ``links`` between nodes."""
+    links = stored(links, "linked")
+    links = links.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
+    links = links.join(labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
+    moved = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b"))).select(F.col("node").alias("old"), F.col("component").alias("new"))
     out = labels.join(moved, F.col("component") == F.col("old"), "left")
     return stored(out.select("node", F.coalesce("new", "component").alias("component")), "labels")
 
@@ -220,10 +268,10 @@ def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     placed = shared.join(labels, "node")
     spread = placed.groupBy("signature").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.min("node").alias("hub"),
-        F.min_by("component", "node").alias("hub_component"), F.count(F.lit(1)).alias("held"), F.sum("n").alias("elements_held"),
+        F.min_by("component", "node").alias("hub_component"), F.count(F.lit(1)).alias("held"),
         *[F.bit_xor(F.xxhash64(F.lit(seed), F.col("node"))).alias(name) for name, seed in (("x", 1), ("y", 2))],
     )
-    one = F.min(F.struct("signature", "hub", "hub_component", "elements_held")).alias("one")
+    one = F.min(F.struct("signature", "hub", "hub_component")).alias("one")
     spread = spread.where("low < high").groupBy("held", "x", "y").agg(one).select("held", "one.*")
     return placed.join(spread, "signature")
 
@@ -254,39 +302,36 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3) -> Dat
     signs = members.where("n > 0").select(F.xxhash64("node").alias("short"), F.explode("signatures").alias("signature"))
     crowded = signs.groupBy("signature").agg(F.min("short").alias("low"), F.max("short").alias("high")).where("low < high").select("signature")
     shared = signs.join(stored(crowded, "crowded"), "signature").distinct()
-    shared = stored(shared.join(nodes.select("short", "node", "n"), "short").select("signature", "node", "n"), "shared")
+    shared = stored(shared.join(nodes.select("short", "node"), "short").select("signature", "node"), "shared")
     labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
     wanted = nodes.join(labels, "node", "left_semi").select("node", "n", F.col("rep")["text_hash"].alias("text_hash"), F.col("rep")["doc_id"].alias("at"))
     sets = stored(_full_sets(docs, stored(wanted, "wanted"), size), "sets")
 
+    sketches = sets.select("node", "n", "sketch")
     for _ in range(STARS):
         left = stored(_open(shared, labels), "open")
         if left.isEmpty():
             break
         # Each pair of a hub and a node once, whatever number of signatures they share.
-        pairs = left.where("component <> hub_component").select("hub", "node").distinct()
-        pairs = pairs.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(BLOCK)).cast("int"))
-        rows = pairs.join(sets, "node").select("hub", "part", F.lit(1).alias("side"), "node", "elements")
-        hubs = pairs.select("hub", "part").distinct()
-        hubs = hubs.join(sets, F.col("hub") == F.col("node")).select("hub", "part", F.lit(0).alias("side"), "node", "elements")
-        rows = rows.unionByName(hubs).repartition("hub", "part").sortWithinPartitions("hub", "part", "side")
-        links = stored(rows.mapInArrow(_star(percent), "a binary, b binary"), "linked")
-        both = links.join(labels.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
-        both = both.join(labels.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
-        labels = _merged(labels, both.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        shared = stored(left.where("node <> hub").select("signature", "node", "n"), "shared")
+        pairs = left.where("component <> hub_component").select("hub", "node").distinct().join(sketches, "node")
+        hubs = sketches.select(F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
+        pairs = pairs.join(hubs, "hub").where(_near(percent)("sketch", "hub_sketch", "n", "hub_n")).select("hub", "node")
+        labels = _merged(labels, _linked(stored(pairs, "pairs"), sets, percent))
+        shared = stored(left.where("node <> hub").select("signature", "node"), "shared")
 
     left = _open(shared, labels)
-    blocks = F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("elements_held") / BLOCK_ELEMENTS)).cast("int")
-    rows = stored(left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open")
+    left = left.withColumn("blocks", F.ceil(F.col("held") / BLOCK).cast("int"))
+    rows = stored(left.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "open")
     if not rows.isEmpty():
         rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         rows = rows.select(
             "signature", "node", "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
             (F.col("block") > F.col("with")).cast("int").alias("side"),
         )
-        rows = rows.join(sets, "node").drop("node", "n").repartition("signature", "i", "j").sortWithinPartitions("signature", "i", "j", "side")
-        labels = _merged(labels, stored(rows.mapInArrow(_blocks(percent), "a binary, b binary").distinct(), "joined"))
+        rows = rows.join(sketches, "node").repartition("signature", "i", "j").sortWithinPartitions("signature", "i", "j")
+        pairs = rows.mapInArrow(_blocks(percent), "a binary, b binary").distinct()
+        pairs = stored(pairs.select(F.col("a").alias("hub"), F.col("b").alias("node")), "pairs")
+        labels = _merged(labels, _linked(pairs, sets, percent))
 
     placed = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("doc").alias("component_id"))

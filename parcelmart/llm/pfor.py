@@ -57,6 +57,42 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return out + (rest > 0)
 
 
+def _lanes(w: int):
+    """Eight values of ``w`` bits fill ``w`` bytes: of each, its first byte, its shift in that, and the bytes that it touches."""
+    for lane in range(8):
+        first, shift = divmod(lane * w, 8)
+        yield lane, first, np.uint64(shift), -(-(shift + w) // 8)
+
+
+def _pack_rows(values: np.ndarray, w: int) -> np.ndarray:
+    """The lowest ``w`` bits of every value of each row, little end first, as bytes."""
+    if w > 56:  # with its shift, a value may not fit 64 bits
+        flags = (values[:, :, None] >> np.arange(w, dtype=np.uint64)) & np.uint64(1)
+        return np.packbits(flags.astype(np.uint8).reshape(len(values), -1), axis=1, bitorder="little")
+    groups = (values & np.uint64((1 << w) - 1)).reshape(len(values), -1, 8)
+    out = np.zeros((*groups.shape[:2], w), np.uint8)
+    for lane, first, shift, touched in _lanes(w):
+        shifted = groups[:, :, lane] << shift
+        for byte in range(touched):
+            out[:, :, first + byte] |= (shifted >> np.uint64(8 * byte)).astype(np.uint8)
+    return out.reshape(len(values), -1)
+
+
+def _unpack_rows(data: np.ndarray, w: int) -> np.ndarray:
+    """The values that ``_pack_rows`` packed."""
+    if w > 56:
+        flags = np.unpackbits(data, axis=1, bitorder="little").reshape(len(data), -1, w).astype(np.uint64)
+        return (flags << np.arange(w, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+    groups = data.reshape(len(data), -1, w)
+    out = np.zeros((*groups.shape[:2], 8), np.uint64)
+    for lane, first, shift, touched in _lanes(w):
+        value = np.zeros(groups.shape[:2], np.uint64)
+        for byte in range(touched):
+            value |= groups[:, :, first + byte].astype(np.uint64) << np.uint64(8 * byte)
+        out[:, :, lane] = (value >> shift) & np.uint64((1 << w) - 1)
+    return out.reshape(len(data), -1)
+
+
 def pack(values: np.ndarray, block: int = BLOCK) -> bytes:
     """One stream of 64-bit integers."""
     values = np.ascontiguousarray(values, np.int64)
@@ -78,10 +114,8 @@ def pack(values: np.ndarray, block: int = BLOCK) -> bytes:
     for w in np.unique(width):
         if w:
             mine = np.flatnonzero(width == w)
-            shifts = np.arange(w, dtype=np.uint64)
-            for part in np.array_split(mine, max(1, len(mine) // 64)):  # bounds the unpacked bits in memory
-                flags = ((rest[part][:, :, None] >> shifts) & np.uint64(1)).astype(np.uint8)
-                packed = np.packbits(flags.reshape(len(part), -1), axis=1, bitorder="little")
+            for part in np.array_split(mine, max(1, len(mine) // 512)):  # bounds the memory
+                packed = _pack_rows(rest[part], int(w))
                 where = starts[part].astype(np.int64)[:, None] + np.arange(packed.shape[1])
                 bits[where] = packed
     exceptions = np.zeros(blocks + 1, np.uint64)
@@ -122,13 +156,9 @@ class Stream:
         for w in np.unique(self.width[some]):
             if w:
                 rows = np.flatnonzero(self.width[some] == w)
-                for part in np.array_split(rows, max(1, len(rows) // 64)):
+                for part in np.array_split(rows, max(1, len(rows) // 512)):
                     where = self.starts[some[part]][:, None] + np.arange(self.block // 8 * int(w))
-                    flags = np.unpackbits(self.bits[where], axis=1, bitorder="little").reshape(len(part), self.block, w)
-                    value = np.zeros((len(part), self.block), np.uint64)
-                    for bit in range(w):
-                        value |= flags[:, :, bit].astype(np.uint64) << np.uint64(bit)
-                    out[part] = value
+                    out[part] = _unpack_rows(self.bits[where], int(w))
         for row, k in enumerate(some):
             mine = slice(self.exceptions[k], self.exceptions[k + 1])
             out[row, self.positions[mine]] = self.outliers[mine]
@@ -182,17 +212,24 @@ class LibraryEncoder:
         # The library cuts these out of a text before its pieces are found.
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.tokenize, self.pattern, self.alphabet = self.library.model.tokenize, regex.compile(pattern), byte_alphabet()
+        self.space = chr(self.alphabet[0x20])
         self.chunks = ChunkTable(self._whole, lambda chunks: map(self._chunk, chunks))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        # A space and letters are one piece.
-        pieces = (chunk,) if chunk[0] == " " and chunk[1:].isalpha() else self.pattern.findall(chunk)
-        written = [p.encode().decode("latin-1").translate(self.alphabet) for p in pieces]
+        word = chunk[1:]
+        if chunk[0] == " " and word.isalpha():
+            # A space and letters are one piece; ASCII letters stand for themselves.
+            written = [self.space + word if word.isascii() else self._written(chunk)]
+        else:
+            written = map(self._written, self.pattern.findall(chunk))
         return array("I", [token.id for piece in written for token in self.tokenize(piece)]).tobytes()
 
+    def _written(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self.alphabet)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = {i: self._whole(t) for i, t in enumerate(texts) if any(name in t for name in self.added)}
         rest = iter(self.chunks.encode([t for i, t in enumerate(texts) if i not in whole] if whole else texts))
@@ -205,7 +242,7 @@ def library_encoder(path: str, pattern: str) -> LibraryEncoder:
     return LibraryEncoder(path, pattern)
 
 
-FILES = "part int, file int, n_docs bigint, n_ids bigint, content binary"
+FILES = "part int, file int, first bigint, n_docs bigint, n_ids bigint, content binary"
 
 
 def write_token_files(
@@ -213,8 +250,9 @@ def write_token_files(
 ) -> DataFrame:
     """Encode every text, append ``end_id``, write the ids in ascending ``doc_id`` order.
 
-    Returns a scan of the written files: ``part, file`` (their order), ``n_docs,
-    n_ids, content``. A file holds whole documents.
+    Returns a scan of the written files: ``part, file`` (their order), ``first``
+    (the ids of earlier files of the part), ``n_docs, n_ids, content``. A file
+    holds whole documents.
 
     Edge cases: a null or empty text is the end id alone. Null ids come first;
     rows with one id follow each other by their text's bytes. No rows give no
@@ -226,7 +264,7 @@ def write_token_files(
     end = struct.pack("<I", end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = library_encoder(path, pattern), TaskContext.get().partitionId(), 0
+        encoder, part, number, first = library_encoder(path, pattern), TaskContext.get().partitionId(), 0, 0
         ids: list = []
         nulls: list = []
         tokens: list = []
@@ -235,7 +273,7 @@ def write_token_files(
         def close() -> pa.RecordBatch:
             stream = np.frombuffer(b"".join(chunks), "<u4")
             image = file_image(np.array(ids, np.int64), np.array(nulls), np.array(tokens), stream, block=block)
-            row = {"part": part, "file": number, "n_docs": len(ids), "n_ids": len(stream), "content": image}
+            row = {"part": part, "file": number, "first": first, "n_docs": len(ids), "n_ids": len(stream), "content": image}
             return pa.RecordBatch.from_pylist([row], FILE_SCHEMA)
 
         held = 0
@@ -250,7 +288,7 @@ def write_token_files(
                 held += len(chunk) // 4
                 if held >= file_ids:
                     yield close()
-                    number, held = number + 1, 0
+                    number, first, held = number + 1, first + held, 0
                     ids, nulls, tokens, chunks = [], [], [], []
         if ids:
             yield close()
@@ -263,22 +301,23 @@ def write_token_files(
     return stored(ordered.mapInArrow(write, FILES), "token-files")
 
 
-FILE_SCHEMA = pa.schema([("part", pa.int32()), ("file", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("content", pa.binary())])
+FILE_SCHEMA = pa.schema([("part", pa.int32()), ("file", pa.int32()), ("first", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("content", pa.binary())])
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
     """Each document's ``doc_id, start, n_tokens, ids_crc32`` from the file images.
 
     ``start`` counts the ids of all documents before it: those of earlier
-    ranges (a sum per range, one row each), earlier files of the range, and
-    earlier documents of the file.
+    ranges (a sum per range, one row each, so small enough for Spark to
+    broadcast), earlier files of the range, and earlier documents of the file.
+    The files themselves are read where they lie. An id may be repeated or
+    null, as it was written; no files give no rows.
     """
     ranges = files.groupBy("part").agg(F.sum("n_ids").alias("ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("range_start"))
-    own = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    places = files.select("part", "file", F.coalesce(F.sum("n_ids").over(own), F.lit(0)).alias("file_start"))
-    places = places.join(ranges, "part").select("part", "file", (F.col("range_start") + F.col("file_start")).alias("start"))
+    ranges = ranges.select(F.col("part").alias("of_part"), F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("range_start"))
+    # Written first: the join is then planned from its true size.
+    ranges = stored(ranges, "range-starts")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,6 +332,5 @@ def read_token_files(files: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return files.join(places, ["part", "file"]).select("start", "content").mapInArrow(
-        read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    )
+    placed = files.join(ranges, F.col("part") == F.col("of_part")).select((F.col("range_start") + F.col("first")).alias("start"), "content")
+    return placed.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -67,6 +67,15 @@ def test_linked_sets_share_a_signature(common, a, b, seed, percent):
         assert len(np.intersect1d(partenum.signatures(left, percent), partenum.signatures(right, percent)))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 3000), st.integers(0, 300), st.integers(0, 300), st.integers(0, 2**32), st.sampled_from([75, 90]))
+def test_sketches_of_linked_sets_are_near(common, a, b, seed, percent):
+    values = np.random.default_rng(seed).integers(0, 2**63, common + a + b, np.uint64)
+    left, right = np.unique(values[: common + a]), np.unique(np.concatenate((values[:common], values[common + a :])))
+    if partenum.linked(left, right, percent):
+        assert partenum.near(partenum.sketch(left), partenum.sketch(right), np.array(len(left)), np.array(len(right)), percent)
+
+
 def test_bands_hold_every_linked_size():
     for percent in (75, 90):
         for size in range(1, 2000):
