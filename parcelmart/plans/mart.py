@@ -306,7 +306,7 @@ def booking_facts(t: dict, p: MartParams, d: dict) -> DataFrame:
     commute with those on the code, and run while each booking is one row. The
     source joins the type table twice (inner, then left with the validity test)
     and uses neither copy's columns: a booking counts (versions of its type) x
-    (versions that hold ``created_at_local``) times. That weight comes from
+    (versions that hold ``created_at_local``) times. Both numbers come from
     ``with_valid_counts``; bookings of other families or without a valid
     version drop out.
 
@@ -327,9 +327,7 @@ def booking_facts(t: dict, p: MartParams, d: dict) -> DataFrame:
     )
     hot = hot_values(bk, "code", p.hot_share)
     versions = d["express_taxi_types"].select(F.col("taxi_type_id").alias("key"), F.col("start_at").alias("start"), F.col("end_at").alias("end"))
-    rows = with_valid_counts(bk, versions, "taxi_type_id", "created_at_local")
-    weight = F.col("n_valid") if p.single_type_join else F.col("n_versions") * F.col("n_valid")
-    rows = rows.withColumn("weight", weight).where(F.col("weight") > 0)
+    rows = with_valid_counts(bk, versions, "taxi_type_id", "created_at_local").where(F.col("n_valid") > 0)
     ub = t["unique_bookings"].where(parts_text("year", "month", "day") >= since).select(
         "last_id", "first_at", "first_allocated"
     )
@@ -351,7 +349,7 @@ def booking_facts(t: dict, p: MartParams, d: dict) -> DataFrame:
     return rows.select(
         join_code.alias("join_code"), is_hot(code, hot).alias("is_hot"), "code", "fare", "is_unique_booking", "hour_local", "country_name",
         "city_name", "date_local", "state", "distance", "commission", "partition_date", "first_at", "first_allocated", "area",
-        "exchange_one_usd", "weight",
+        "exchange_one_usd", "n_versions", "n_valid",
     )
 
 
@@ -429,7 +427,8 @@ def daily_metrics(t: dict, p: MartParams, d: dict) -> DataFrame:
     take the same joins with salted copies of the sides' rows of those codes.
     The sums are weighted by the number of times that a row stands for itself.
     """
-    facts = d["booking_facts"]
+    weight = F.col("n_valid") if p.single_type_join else F.col("n_versions") * F.col("n_valid")
+    facts = d["booking_facts"].withColumn("weight", weight).drop("n_versions", "n_valid")
     sides = _cube_sides(t, p, d)
     tests = t["test_bookings"].select(F.col("code").alias("_tb_code"))
     hot = [r.code for r in facts.where("is_hot").select("code").distinct().collect()]
