@@ -44,6 +44,10 @@ BLOCK = 1024
 PERCENTILE = 0.95
 #: A file is closed at the first document end after so many ids.
 FILE_IDS = 1 << 20
+#: Marks behind a word, the apostrophe left out, which may start a piece; a worker keeps the ids of
+#: so many runs of them, of up to so many characters.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+TAIL, TAILS = 8, 50_000
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -195,6 +199,18 @@ def byte_alphabet() -> dict[int, int]:
     return {b: b for b in visible} | {b: 256 + k for k, b in enumerate(others)}
 
 
+class WrittenCharacters(dict):
+    """A character's bytes in the byte alphabet, made when it is first met."""
+
+    def __init__(self):
+        super().__init__()
+        self.alphabet = byte_alphabet()
+
+    def __missing__(self, character: str) -> str:
+        written = self[character] = "".join(chr(self.alphabet[b]) for b in character.encode())
+        return written
+
+
 class LibraryEncoder:
     """The tokenizers library's ids of texts.
 
@@ -211,24 +227,36 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(path)
         # The library cuts these out of a text before its pieces are found.
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.tokenize, self.pattern, self.alphabet = self.library.model.tokenize, regex.compile(pattern), byte_alphabet()
-        self.space = chr(self.alphabet[0x20])
+        self.tokenize, self.pattern, self.characters = self.library.model.tokenize, regex.compile(pattern), WrittenCharacters()
+        self.space = self.characters[" "]
+        self.tails: dict[str, bytes] = {}
         self.chunks = ChunkTable(self._whole, lambda chunks: map(self._chunk, chunks))
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        word = chunk[1:]
+        # A space and letters are one piece, and so are the marks behind them. A chunk of its own may hold the letters.
+        word = chunk[1:].rstrip(MARKS)
         if chunk[0] == " " and word.isalpha():
-            # A space and letters are one piece; ASCII letters stand for themselves.
-            written = [self.space + word if word.isascii() else self._written(chunk)]
-        else:
-            written = map(self._written, self.pattern.findall(chunk))
-        return array("I", [token.id for piece in written for token in self.tokenize(piece)]).tobytes()
+            tail = chunk[len(word) + 1 :]
+            ids = tail and self.chunks.table.get(word) or self._piece(self.space + (word if word.isascii() else self._written(word)))
+            return ids + self._tail(tail) if tail else ids
+        return b"".join([self._piece(self._written(piece)) for piece in self.pattern.findall(chunk)])
+
+    def _tail(self, piece: str) -> bytes:
+        ids = self.tails.get(piece)
+        if ids is None:
+            ids = self._piece(self._written(piece))
+            if len(piece) <= TAIL and len(self.tails) < TAILS:
+                self.tails[piece] = ids
+        return ids
+
+    def _piece(self, written: str) -> bytes:
+        return array("I", [token.id for token in self.tokenize(written)]).tobytes()
 
     def _written(self, piece: str) -> str:
-        return piece.encode().decode("latin-1").translate(self.alphabet)
+        return "".join(map(self.characters.__getitem__, piece))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = {i: self._whole(t) for i, t in enumerate(texts) if any(name in t for name in self.added)}
