@@ -13,7 +13,9 @@ names, compares those of different components and emits only the links that
 join components, fewer than nodes; pairs are never listed. A pair belongs to
 the first band that it shares, so it is compared once at most. After each batch
 the components are contracted, and a bucket whose nodes are in one component is
-done. Buckets of any size are cut into blocks, a task for each two blocks.
+done. Buckets of any size are cut into blocks: first every node of them meets the
+bucket's smallest alone, which joins most copies, then a task takes each two
+blocks of the buckets that are left.
 
 ``P(no shared band)`` at similarity s is ``(1 - s**ROWS) ** BANDS``: 3.6e-6 at 0.75.
 """
@@ -237,10 +239,14 @@ def _compare(percent: int):
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, bands, shingles`` of the ``wanted`` nodes (``node, doc, bands``), from the documents that stand for them."""
-    wanted = wanted.select(F.col("node").alias("want"), F.col("doc").alias("rep"), "bands")
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("want", "bands", _full(size)(text_bytes()).alias("set"))
-    # A repeated doc_id may bring another text along, and a repeated row the same one.
+    """``node, bands, shingles`` of the ``wanted`` nodes (``node, doc, digest, bands``), from the documents that stand for them.
+
+    A text is found by its id and digest, so that rows without an id are not each other's.
+    """
+    wanted = wanted.select(F.col("node").alias("want"), F.col("doc").alias("rep"), "digest", "bands")
+    same = docs["doc_id"].eqNullSafe(wanted["rep"]) & (F.xxhash64(docs["text"]) == wanted["digest"])
+    texts = docs.join(wanted, same).select("want", "bands", _full(size)(text_bytes()).alias("set"))
+    # Another text may have the digest, and a repeated row brings the same one.
     sets = texts.where(F.col("set")["node"] == F.col("want"))
     return sets.select(F.col("want").alias("node"), "bands", F.col("set")["shingles"].alias("shingles")).dropDuplicates(["node"])
 
@@ -261,37 +267,53 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     """
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    signed = docs.select("doc_id", _signed(size)(text_bytes()).alias("s")).select("doc_id", "s.n", "s.node", "s.bands")
-    members = stored(signed, "members")
-    nodes = stored(members.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands")), "nodes")
+    signed = docs.select("doc_id", F.xxhash64("text").alias("digest"), _signed(size)(text_bytes()).alias("s"))
+    members = stored(signed.select("doc_id", "digest", "s.n", "s.node", "s.bands"), "members")
+    # A node is represented by a row of its smallest id, if any has one.
+    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("of")
+    nodes = members.where("n > 0").groupBy("node").agg(first_row, F.first("bands").alias("bands"))
+    nodes = stored(nodes.select("node", F.col("of.doc_id").alias("doc"), F.col("of.digest").alias("digest"), "bands"), "nodes")
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket")
     shared = stored(buckets.join(stored(crowded, "crowded"), "bucket"), "shared")
     labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
-    packed = nodes.join(labels, "node", "left_semi").select("node", "doc", _bytes_of()("bands").alias("bands"))
+    packed = nodes.join(labels, "node", "left_semi").select("node", "doc", "digest", _bytes_of()("bands").alias("bands"))
     sets = stored(_full_sets(docs, packed, size), "sets")
 
-    first = 0
-    for end in BATCHES:
+    def joined(labels: DataFrame, first: int, end: int, stars: bool) -> DataFrame:
+        """The labels after the open buckets of some bands were compared; ``stars``: those of several blocks,
+        every node with the bucket's smallest alone."""
         placed = shared.where(F.col("band").between(first, end - 1)).join(labels, "node")
-        first = end
         spread = placed.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held")
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"), F.min("node").alias("centre")
         )
-        spread = stored(spread.where("low < high").select("bucket", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")), "open")
+        blocks = F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")
+        spread = stored(spread.where("low < high").select("bucket", "centre", blocks).where(F.col("blocks") > int(stars)), "open")
         if spread.isEmpty():
-            continue
+            return labels
         rows = placed.join(spread, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.select(
-            "bucket", "band", "node", "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
-            (F.col("block") > F.col("with")).cast("int").alias("side"),
-        )
+        every = F.sequence(F.lit(0), F.col("blocks") - 1)
+        if stars:
+            middle = F.col("node") == F.col("centre")
+            rows = rows.withColumn("j", F.explode(F.when(middle, every).otherwise(F.array("block"))))
+            rows = rows.select("bucket", "band", "node", "component", F.lit(-1).alias("i"), "j", (~middle).cast("int").alias("side"))
+        else:
+            rows = rows.withColumn("with", F.explode(every))
+            rows = rows.select(
+                "bucket", "band", "node", "component", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
+                (F.col("block") > F.col("with")).cast("int").alias("side"),
+            )
         rows = rows.join(sets, "node").drop("node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
         links = stored(rows.mapInArrow(_compare(percent), "a binary, b binary").distinct(), "joined")
         moved = components(links).select(F.col("node").alias("old"), F.col("component").alias("new"))
         labels = labels.join(moved, F.col("component") == F.col("old"), "left")
-        labels = stored(labels.select("node", F.coalesce("new", "component").alias("component")), "labels")
+        return stored(labels.select("node", F.coalesce("new", "component").alias("component")), "labels")
+
+    first = 0
+    for end in BATCHES:
+        for stars in (True, False):
+            labels = joined(labels, first, end, stars)
+        first = end
 
     placed = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("doc").alias("component_id"))
