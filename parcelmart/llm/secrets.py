@@ -14,6 +14,7 @@ a match starts after all pieces and matches before it.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +34,10 @@ STATES = len(ALPHABET) + 1
 #: The code that stands for all characters past ASCII while transitions are counted.
 OTHER = 128
 
+SPANS = "array<struct<start:int,kind:int,end:int,token:string>>"
+#: Elements of an array that are folded together, and a place behind every text.
+BLOCK, NOWHERE = 256, 2**31 - 1
+
 #: Generated strings of each form.
 GENERATED = 2000
 #: Nats by which the random model must be the likelier.
@@ -98,22 +103,52 @@ def ratio(token: Column, model: list[float]) -> Column:
     return F.aggregate(steps, F.lit(0.0), lambda total, k: total + F.get(table, k))
 
 
+def running(values: Column, zero: int, step: Callable[[Column, Column], Column]) -> Column:
+    """``step`` folded along an array of integers, after every element.
+
+    Appending to an array copies it, so the elements are folded in blocks of
+    ``BLOCK``: the work for n of them is n * BLOCK + (n / BLOCK)**2 copied values.
+    """
+    last = lambda a: F.element_at(a, -1)
+    within = lambda block, start: F.aggregate(block, F.array(start), lambda a, x: F.concat(a, F.array(step(last(a), x))))
+
+    def folded(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(v) / BLOCK).cast("int")), lambda k: F.slice(v, k * BLOCK + 1, BLOCK))
+        lists = F.aggregate(blocks, F.array(F.array(F.lit(zero))), lambda a, block: F.concat(a, F.array(within(block, last(last(a))))))
+        # The first of each list is the value before its block; the first list is the start alone.
+        return F.flatten(F.transform(lists, lambda a: F.slice(a, 2, BLOCK)))
+
+    # The values are made once and handed on as the only element of an array.
+    return F.flatten(F.transform(F.array(values), folded))
+
+
 def match_spans(text: Column, pattern: str, kind: int, found: Column, keep: Column | None = None) -> Column:
     """``array<struct<start, kind, end, token>>`` of the matches ``found`` in ``text``; ``keep``: whether each counts."""
-    pieces = F.split(text, pattern, -1)
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+    none = F.array().cast(SPANS)
+    ends = running(F.zip_with(gaps, found, lambda gap, token: F.length(gap) + F.length(token)), 0, lambda at, n: at + n)
     keep = F.transform(found, lambda m: F.lit(True)) if keep is None else keep
-    parts = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("piece"), found.alias("token"), keep.alias("keep"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,token:string>>")
+    rows = F.filter(F.arrays_zip(ends.alias("end"), found.alias("token"), keep.alias("keep")), lambda r: r["keep"])
+    span = lambda r: F.struct(
+        (r["end"] - F.length(r["token"])).alias("start"), F.lit(kind).alias("kind"), r["end"].alias("end"), r["token"].alias("token")
+    )
+    return F.when(F.size(found) > 0, F.transform(rows, span)).otherwise(none)
+
+
+def untouched(runs: Column, base: Column) -> Column:
+    """The ``runs`` that overlap no span of ``base``, from one walk each way over all spans by start."""
 
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["piece"])
-        end = start + F.length(part["token"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), part["token"].alias("token"))
-        return F.struct(end.alias("at"), F.when(part["keep"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+    def free(spans: Column) -> Column:
+        is_run = lambda s: s["kind"] == len(KINDS) - 1
+        reach = running(F.transform(spans, lambda s: F.when(is_run(s), 0).otherwise(s["end"])), 0, F.greatest)
+        ahead = F.transform(F.reverse(spans), lambda s: F.when(is_run(s), NOWHERE).otherwise(s["start"]))
+        ahead = F.reverse(running(ahead, NOWHERE, F.least))
+        rows = F.arrays_zip(spans.alias("span"), reach.alias("reach"), ahead.alias("ahead"))
+        kept = F.filter(rows, lambda r: is_run(r["span"]) & (r["reach"] <= r["span"]["start"]) & (r["ahead"] >= r["span"]["end"]))
+        return F.transform(kept, lambda r: r["span"])
 
-    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    spans = F.aggregate(parts, begin, step, lambda state: state["spans"])
-    return F.when(F.size(found) > 0, spans).otherwise(none)
+    both = F.flatten(F.transform(F.array(F.sort_array(F.concat(base, runs))), free))
+    return F.when((F.size(runs) > 0) & (F.size(base) > 0), both).otherwise(runs)
 
 
 def scan_secrets(docs: DataFrame, model: list[float], margin: float = MARGIN) -> DataFrame:
@@ -142,15 +177,14 @@ def scan_secrets(docs: DataFrame, model: list[float], margin: float = MARGIN) ->
         ).alias("base"),
         match_spans(t, RUN, 3, F.col("r"), F.transform("r", lambda run: ratio(run, model) > margin)).alias("runs"),
     )
-    free = lambda run: ~F.exists("base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-    return rows.select("doc_id", F.array_sort("base").alias("base"), F.filter("runs", free).alias("markov"))
+    return rows.select("doc_id", F.sort_array("base").alias("base"), untouched(F.col("runs"), F.col("base")).alias("markov"))
 
 
 def written(spans: Column) -> Column:
     """``kind:start:end`` of the spans by start, then kind, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])
     text = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
-    return F.array_join(F.transform(F.array_sort(spans), text), ",")
+    return F.array_join(F.transform(F.sort_array(spans), text), ",")
 
 
 def secret_digest(scanned: DataFrame) -> DataFrame:
