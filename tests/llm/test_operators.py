@@ -3,6 +3,7 @@ repeated rows, empty tables, extra columns with clashing names."""
 
 import base64
 import random
+import re
 import struct
 import zlib
 from collections import Counter
@@ -74,6 +75,14 @@ def test_near_duplicates(docs, empty, monkeypatch):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_without_ids(spark):
+    """Rows without an id fetch their own texts; 1,500 near copies fill several blocks and end as one component."""
+    base = " ".join(f"w{i}" for i in range(60))
+    near = spark.range(1500).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit(base + " x"), F.col("id").cast("string")).alias("text"))
+    out = near_dedup.near_duplicates(near.union(spark.createDataFrame([(5, base + " y")], SCHEMA)))
+    assert [tuple(r) for r in out.groupBy("component_id", "n_shingles").count().collect()] == [(5, 57, 1501)]
+
+
 def test_min_max_signature_estimates_similarity():
     rng = np.random.default_rng(3)
     a = np.unique(rng.integers(0, 2**63, 1000, dtype=np.uint64))
@@ -203,6 +212,19 @@ def test_secrets(spark, docs, empty):
     assert sum(r.hit for r in hits if r.y) >= 97 and not any(r.hit for r in hits if not r.y)
 
 
+def test_spans_of_very_many_matches(spark):
+    """Blocks of folded positions: 3,000 runs of two kinds in one text, some inside base spans, against a plain scan."""
+    rng, even = random.Random(7), [0.5] * (secrets.STATES**2)
+    words = [f"é {rng.getrandbits(120):030x}" if i % 3 else f"{rng.getrandbits(120):030X}" for i in range(3000)]
+    text = " ".join(words)
+    row = secrets.scan_secrets(spark.createDataFrame([(1, text)], SCHEMA), even, margin=0.0).first()
+    hexes = [(m.start(), 2, m.end(), m.group()) for m in re.finditer(r"[0-9a-f]{24,}", text)]
+    runs = [(m.start(), 3, m.end(), m.group()) for m in re.finditer(secrets.RUN, text)]
+    touched = lambda r: any(s < r[2] and r[0] < e for s, _, e, _ in hexes)
+    assert [tuple(s) for s in row.base] == hexes
+    assert [tuple(s) for s in row.markov] == [r for r in runs if not touched(r)]
+
+
 def test_identifier_model_counts_all_rows(spark):
     """Identifiers of a source with few of many rows are known, wherever the hashes of their ids lie."""
     common = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("ordinary words of the usual kind").alias("text"))
@@ -345,6 +367,24 @@ def test_token_files(docs, empty):
     assert none.count() == 0 and pfor.read_token_files(none).count() == 0
 
 
+def test_co_training_sums_all_unlabelled_rows(spark):
+    """The sums over the tasks equal those over all rows at once, and a source outside any sample has its place."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["the", "of", "zz9", "Q"]) for _ in range(20)), "en", "rare" if i % 50 == 0 else f"s{i % 3}", 60) for i in range(900)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", lang string, source string, n_chars long").repartition(7)
+    places = cotrain.metadata_places(docs)
+    assert set(places[1]) == {"rare", "s0", "s1", "s2"} and sorted(p for of in places for p in of.values()) == list(range(3, 9))
+    size = 9
+    pool = docs.select(cotrain._text_vector()("text").alias("x"), cotrain._place_keys(places)(*cotrain.metadata_values(docs)).alias("keys"))
+    gen = np.random.default_rng(2)
+    labellers, now = ([gen.normal(0, 1, n) for n in (cotrain.TEXT_DIM + 1, size + 1)] for _ in range(2))
+    got = cotrain._summed(pool, size)(labellers, now, (0.4, 0.6))
+    all_rows = pool.collect()
+    text, meta = cotrain._matrices([bytes(r.x) for r in all_rows], [bytes(r["keys"]) for r in all_rows], size)
+    want = cotrain.pseudo_sums(cotrain._design(text), cotrain._design(meta), labellers, now, (0.4, 0.6))
+    assert len(got) == len(want) and np.allclose(got, want, rtol=1e-3, atol=1e-3)
+
+
 def test_co_training(spark, docs, empty):
     sf_dir = "/root/testdata/sf0.1"
     all_docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
