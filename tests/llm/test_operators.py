@@ -375,7 +375,7 @@ def test_co_training_sums_all_unlabelled_rows(spark):
     places = cotrain.metadata_places(docs)
     assert set(places[1]) == {"rare", "s0", "s1", "s2"} and sorted(p for of in places for p in of.values()) == list(range(3, 9))
     size = 9
-    pool = docs.select(cotrain._text_vector()("text").alias("x"), cotrain._place_keys(places)(*cotrain.metadata_values(docs)).alias("keys"))
+    pool = docs.select(cotrain._text_vector()(cotrain.text_bytes()).alias("x"), cotrain._place_keys(places)(*cotrain.metadata_values(docs)).alias("keys"))
     gen = np.random.default_rng(2)
     labellers, now = ([gen.normal(0, 1, n) for n in (cotrain.TEXT_DIM + 1, size + 1)] for _ in range(2))
     got = cotrain._summed(pool, size)(labellers, now, (0.4, 0.6))
