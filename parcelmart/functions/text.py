@@ -192,3 +192,24 @@ def word_search(df: DataFrame, text: str, keywords: list[str], id_col: str) -> D
         .repartition(id_col)
         .orderBy("keyword", id_col)
     )
+
+
+def keyword_hits(df: DataFrame, text: str, keywords: DataFrame, keyword: str, id_col: str) -> DataFrame:
+    """Y7 with the keywords as a table: ``(id, keyword)`` for every document whose
+    normalised tokens contain the lower-cased keyword; one row per (keyword, document).
+
+    ``word_search`` puts its keywords into one expression, which grows with the
+    list. Here each text is cut into its distinct tokens, row by row, and the
+    tokens meet the distinct keywords in an equi-join, whatever their number:
+    Spark broadcasts the keywords when their measured size allows and shuffles
+    both sides by the token otherwise, where AQE splits a token that very many
+    documents hold. Only ids and tokens cross, no texts. The rows are not sorted.
+
+    A null keyword and a null text match nothing; a keyword given twice counts
+    once, and keywords that differ in case only are each returned as given. The
+    empty keyword matches documents with a token of '.' and ',' alone.
+    """
+    wanted = keywords.select(F.col(keyword).alias("keyword")).where("keyword IS NOT NULL").distinct()
+    tokens = df.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct(normalized_tokens(text))).alias("_token"))
+    hits = tokens.join(wanted, F.col("_token") == F.lower("keyword"))
+    return hits.select(F.col("_id").alias(id_col), "keyword")

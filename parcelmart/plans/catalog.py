@@ -449,6 +449,14 @@ def word_search(spark, sf_dir):
     return _txt.word_search(d, "text", SEARCH_KEYWORDS, "doc_id")
 
 
+@query
+def keyword_table(spark, sf_dir):
+    """Y7 with a table of keywords: the documents that hold each word of the benchmark items."""
+    d = load(spark, sf_dir, "documents")
+    words = load(spark, sf_dir, "benchmark").select(F.explode(_txt.word_tokens("text")).alias("word"))
+    return _txt.keyword_hits(d, "text", words, "word", "doc_id")
+
+
 @query
 def argmin_as_int(spark, sf_dir):
     """Smallest of three numeric strings by integer value, first wins ties."""

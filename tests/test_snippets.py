@@ -162,3 +162,32 @@ def test_word_search_property(spark, docs, keywords):
     got = sorted((r.keyword, r.doc_id) for r in T.word_search(df, "text", keywords, "doc_id").collect())
     want = sorted({(k, i) for k in keywords for i in py_word_search(docs, k)})
     assert got == want
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text(alphabet=_ALPHABET, max_size=30), min_size=1, max_size=8),
+       st.lists(st.text(alphabet="aAbBéÉ.,", min_size=0, max_size=3), max_size=4))
+def test_keyword_table_property(spark, docs, keywords):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id int, text string")
+    table = spark.createDataFrame([(k,) for k in [*keywords, None]], "k string")
+    got = sorted((r.keyword, r.doc_id) for r in T.keyword_hits(df, "text", table, "k", "doc_id").collect())
+    assert got == sorted({(k, i) for k in keywords for i in py_word_search(docs, k)})
+
+
+@pytest.mark.parametrize("threshold", ["-1", "64m"])
+def test_keyword_table_of_many_keywords(spark, threshold):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = [spark.conf.get(k, None) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, threshold)
+        keywords = spark.range(100_000).select(F.concat(F.lit("W"), "id").alias("k"))
+        # Every text holds "w7"; the others hold one word of their own, with and without a mark behind it.
+        docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.format_string("w7 W%d., x%d w7", F.col("id") * 50, F.col("id")).alias("text"))
+        hits = T.keyword_hits(docs.union(spark.createDataFrame([(None, None)], "doc_id long, text string")), "text", keywords, "k", "doc_id")
+        counts = {r.keyword: r.n for r in hits.groupBy("keyword").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert counts.pop("W7") == 3_000
+        assert counts == {f"W{50 * i}": 1 for i in range(2_000)}
+    finally:
+        for k, v in zip(keys, old):
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
