@@ -10,6 +10,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from parcelmart.functions.scalar import elapsed_seconds
 from parcelmart.operators.hot_keys import hot_key_join, hot_values
 from parcelmart.operators.intervals import interval_join, with_valid_counts
 from parcelmart.plans import catalog, mart, runner
@@ -94,6 +95,27 @@ def test_hot_key_join_spreads_the_hot_rows(spark, no_broadcast):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_hot_pairs_keep_their_partitions(spark):
+    left = spark.range(2000).select("id", F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.col("id").cast("string")).alias("code"))
+    right = left.select(F.col("code").alias("rcode"), (F.col("id") * 3).alias("v")).where("v % 2 = 0")
+    got = hot_key_join(left, right, ("code", "rcode"), "id", "inner", hot=[""], partitions=16)
+    sizes = sorted(r["count"] for r in got.where("code = ''").groupBy(F.spark_partition_id()).count().collect())
+    # AQE is on and the rows are few bytes: merged, all million pairs would be one task's.
+    assert sum(sizes) == 1000 * 1000 and len(sizes) >= 8 and sizes[-1] < 300_000
+
+
+def test_durations_spread_the_pairs_of_a_repeated_code(spark):
+    rows = QUERIES["durations"](spark, SF_SMALL).where("booking_code = ''").select(F.spark_partition_id().alias("p")).collect()
+    assert len(rows) > 4 and len({r.p for r in rows}) > 1
+
+
+@pytest.mark.parametrize("seconds", [0.0, 0.4, 59.999999, -0.4, -1.5, -60.000001, 86_400.0, 5e9])
+def test_elapsed_seconds_truncate_both_ways(spark, seconds):
+    row = spark.sql(f"SELECT timestamp'2018-03-25 00:59:59.7' a, timestamp_micros(unix_micros(timestamp'2018-03-25 00:59:59.7') + bigint({round(seconds * 1e6)})) b")
+    out = row.select(elapsed_seconds("a", "b").alias("n"), F.timestamp_diff("SECOND", "a", "b").alias("m"), elapsed_seconds("a", F.lit(None).cast("timestamp")).alias("none")).first()
+    assert out.n == out.m == int(seconds) and out.none is None
+
+
 def test_cube_with_a_hot_code_is_the_plain_cube(spark):
     t = dict(standin_tables(spark, SF_SMALL))
     third = lambda c, key: F.when(F.col(key) % 3 == 0, F.lit("PARTNER-00000001-3")).otherwise(F.col(c))
