@@ -16,7 +16,7 @@ from parcelmart.operators.intervals import interval_join, with_valid_counts
 from parcelmart.plans import catalog, mart, runner
 from parcelmart.plans.catalog import PARAMS, QUERIES
 from parcelmart.session import checkpoint_dir
-from parcelmart.sources.sinks import publish, published, write_clustered
+from parcelmart.sources.sinks import publish, published, write_clustered, write_table
 from parcelmart.sources.standins import standin_tables
 from tests.conftest import SF_SMALL
 
@@ -59,6 +59,21 @@ def test_clustered_table_keeps_rows_and_nulls(spark, tmp_path):
     assert len(files) <= 8
 
 
+def test_written_tables_are_compressed_well(spark, tmp_path):
+    write_clustered(spark.range(100).withColumn("k", F.col("id") % 7), str(tmp_path / "c"), "k", 2)
+    write_table(spark.range(100), str(tmp_path / "t"))
+    for folder in ("c", "t"):
+        files = [f for _, _, names in os.walk(tmp_path / folder) for f in names if f.endswith(".parquet")]
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_facts_join_validity_steps_of_known_size(spark):
+    facts = catalog._mart_outputs(spark, SF_SMALL, "booking_facts")[1]["booking_facts"]
+    plan = plan_of(facts)
+    # The steps are a written table, small by its size: the bookings stay where they are until their code deals them.
+    assert "/aside" in plan and "Arguments: hashpartitioning" not in plan and "polygon_boundaries" not in plan
+
+
 # --- hot codes --------------------------------------------------------------------------
 
 
