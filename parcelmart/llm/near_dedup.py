@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -251,6 +251,16 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return sets.select(F.col("want").alias("node"), "bands", F.col("set")["shingles"].alias("shingles")).dropDuplicates(["node"])
 
 
+def _shared(buckets: DataFrame) -> DataFrame:
+    """The rows of ``buckets`` (``node, band, bucket``, a row once) whose bucket holds more than one node.
+
+    The rows cross one shuffle, by the bucket, and are sorted there; no second
+    pass looks the shared buckets up. A group of any size may spill.
+    """
+    held = buckets.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("bucket")))
+    return held.where("held > 1").select("node", "band", "bucket")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -274,8 +284,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     nodes = members.where("n > 0").groupBy("node").agg(first_row, F.first("bands").alias("bands"))
     nodes = stored(nodes.select("node", F.col("of.doc_id").alias("doc"), F.col("of.digest").alias("digest"), "bands"), "nodes")
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket")
-    shared = stored(buckets.join(stored(crowded, "crowded"), "bucket"), "shared")
+    shared = stored(_shared(buckets), "shared")
     labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
     packed = nodes.join(labels, "node", "left_semi").select("node", "doc", "digest", _bytes_of()("bands").alias("bands"))
     sets = stored(_full_sets(docs, packed, size), "sets")

@@ -36,7 +36,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -260,6 +260,17 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(out.select("node", F.coalesce("new", "component").alias("component")), "labels")
 
 
+def _shared(signs: DataFrame) -> DataFrame:
+    """The rows of ``signs`` (``signature, short``) whose signature another node has too.
+
+    The rows cross one shuffle, by the signature, and are sorted there; no second
+    pass looks the shared signatures up. A group of any size may spill.
+    """
+    same = Window.partitionBy("signature")
+    held = signs.withColumn("low", F.min("short").over(same)).withColumn("high", F.max("short").over(same))
+    return held.where("low < high").select("signature", "short")
+
+
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``shared`` whose signature holds more than one component, with their components and that signature's totals.
 
@@ -300,8 +311,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3) -> Dat
     nodes = stored(nodes.withColumn("short", F.xxhash64("node")), "nodes")
     # While most signatures are found to be a node's own, nodes go by a short name; one shared by two nodes only brings both along.
     signs = members.where("n > 0").select(F.xxhash64("node").alias("short"), F.explode("signatures").alias("signature"))
-    crowded = signs.groupBy("signature").agg(F.min("short").alias("low"), F.max("short").alias("high")).where("low < high").select("signature")
-    shared = signs.join(stored(crowded, "crowded"), "signature").distinct()
+    shared = _shared(signs).distinct()
     shared = stored(shared.join(nodes.select("short", "node"), "short").select("signature", "node"), "shared")
     labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
     wanted = nodes.join(labels, "node", "left_semi").select("node", "n", F.col("rep")["text_hash"].alias("text_hash"), F.col("rep")["doc_id"].alias("at"))

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from parcelmart.llm import lexical, partenum, prefix_trie, queries
+from parcelmart.llm import lexical, near_dedup, partenum, prefix_trie, queries
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tests.oracle import compare
@@ -48,6 +48,36 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, n int, node string, signature array<int>, component string")
 
 
+def exchanges(df) -> int:
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return text.count("Arguments: hashpartitioning")
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_shared_signatures_and_buckets_cross_one_shuffle(spark, docs, monkeypatch, broadcast):
+    rows = [(k % 7, k % 40, k % 3) for k in range(400)] + [(k, 1000 + k, 0) for k in range(30)] + [(5, 2000, 0)] * 3
+    signs = spark.createDataFrame(rows, "short long, signature long, band int")
+    want = sorted((s, g) for s, g, _ in rows if len({x for x, y, _ in rows if y == g}) > 1)
+    got = partenum._shared(signs.select("short", "signature"))
+    assert rows_of(got, "short", "signature") == sorted(want, key=str) and exchanges(got) == 1
+    buckets = signs.selectExpr("short AS node", "band", "signature AS bucket").distinct()
+    held = near_dedup._shared(buckets.localCheckpoint())
+    keys = {(s, b, g) for s, g, b in rows}
+    assert rows_of(held, "node", "band", "bucket") == sorted((k for k in keys if sum(k[2] == o[2] for o in keys) > 1), key=str)
+    assert exchanges(held) == 1
+    # The operators take them, and look nothing up again, whatever size Spark would send to all tasks.
+    names, old = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        for module, run in ((partenum, partenum.jaccard_components), (near_dedup, near_dedup.near_duplicates)):
+            kept = module.stored
+            monkeypatch.setattr(module, "stored", lambda df, name, kept=kept: names.append(name) or kept(df, name))
+            run(docs.where("doc_id < 9"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert names.count("shared") >= 2 and "crowded" not in names
+
+
 def test_jaccard_components(docs, monkeypatch):
     want = sorted(brute.jaccard_components(DOCS), key=str)
     got = lambda: rows_of(partenum.jaccard_components(docs), "doc_id", "n_shingles", "component_id")
