@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from parcelmart.llm.common import fresh, small_batches, stored, text_bytes
+from parcelmart.llm.common import freed, fresh, small_batches, stored, text_bytes
 
 #: Hashed trigrams of the text, and its further features.
 TRIGRAMS, TEXT_DIM = 512, 514
@@ -42,8 +42,8 @@ ROUNDS, STEPS = 3, 2
 CONFIDENCE = 0.95
 #: All pseudo-labels of a class together weigh so much of the labelled rows of that class, in the last round.
 PSEUDO_WEIGHT = 0.15
-#: Rows of sums that are added up in a first level.
-FAN_IN = 16
+#: Numbers in a piece of a task's sums: pieces are added up by their place, so that no row or Arrow batch is large.
+PIECE = 512
 HELD_OUT = 0.25
 #: A document is accepted from this chance of being good on: only clear cases go.
 THRESHOLD = 0.3
@@ -273,7 +273,7 @@ def _matrices(x: list[bytes], keys: list[bytes], size: int) -> tuple[np.ndarray,
 
 
 def _summed(pool: DataFrame, size: int) -> Callable[[list, list, tuple], np.ndarray | None]:
-    """``pseudo_sums`` of all rows of ``pool``: a vector a task, added up on two levels."""
+    """``pseudo_sums`` of all rows of ``pool``: a vector a task, in pieces that are added up by their place in it."""
 
     def sums(labellers: list, now: list, limits: tuple) -> np.ndarray | None:
         def of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,20 +285,22 @@ def _summed(pool: DataFrame, size: int) -> Callable[[list, list, tuple], np.ndar
                     weights = [[w.astype(np.float32) for w in ws] for ws in (labellers, now)]
                     total, some = total + pseudo_sums(_design(text), _design(meta), *weights, limits).astype(np.float64), True
             if some:
-                yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+                yield written({at: total[at : at + PIECE] for at in range(0, len(total), PIECE)})
 
         def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = None
+            totals: dict[int, np.ndarray] = {}
             for batch in batches:
-                for row in batch.column(0):
-                    vector = np.frombuffer(row.as_py(), np.float64)
-                    total = vector if total is None else total + vector
-            if total is not None:
-                yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+                for at, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    piece = np.frombuffer(row, np.float64)
+                    totals[at] = totals[at] + piece if at in totals else piece.copy()
+            yield written(totals)
 
-        rows = pool.select("x", "keys").mapInArrow(of_rows, "sums binary")
-        rows = rows.repartition(FAN_IN).mapInArrow(added, "sums binary").repartition(1).mapInArrow(added, "sums binary").collect()
-        return np.frombuffer(rows[0].sums, np.float64) if rows else None
+        def written(pieces: dict) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"at": pa.array(list(pieces), pa.int32()), "sums": pa.array([p.tobytes() for p in pieces.values()], pa.binary())})
+
+        rows = pool.select("x", "keys").mapInArrow(of_rows, "at int, sums binary")
+        rows = rows.repartition("at").mapInArrow(added, "at int, sums binary").collect()
+        return np.concatenate([np.frombuffer(r.sums, np.float64) for r in sorted(rows, key=lambda r: r["at"])]) if rows else None
 
     return sums
 
@@ -332,7 +334,10 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS
     text, meta = _matrices(list(map(bytes, got.x)), list(map(bytes, got["keys"])), size)
     free = features.where("doc_id IS NOT NULL").join(marked, "doc_id", "left_anti").union(features.where("doc_id IS NULL"))
     pool = stored(free.select("x", "keys"), "pool")
-    return co_train(text, meta, y, places, _summed(pool, size), rounds, steps)
+    freed(features, marked)
+    model = co_train(text, meta, y, places, _summed(pool, size), rounds, steps)
+    freed(pool)
+    return model
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:

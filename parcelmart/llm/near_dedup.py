@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from parcelmart.llm.common import fresh, small_batches, stored, text_bytes
+from parcelmart.llm.common import filtered_joins, freed, small_batches, stored, text_bytes
 from parcelmart.llm.components import components
 
 ROWS, BANDS = 6, 64
@@ -142,31 +142,22 @@ def _signed(size: int):
 
 
 def _full(size: int):
-    """Node and full set (as bytes) of a text."""
-    kind = pa.struct([("node", pa.binary()), ("shingles", pa.binary())])
+    """Node, full set and band keys (as bytes) of a text."""
+    kind = pa.struct([("node", pa.binary()), ("shingles", pa.binary()), ("bands", pa.binary())])
 
-    @arrow_udf("struct<node:binary,shingles:binary>")
+    @arrow_udf("struct<node:binary,shingles:binary,bands:binary>")
     def full(texts: pa.Array) -> pa.Array:
         out = []
         for text in texts:
             found = shingle_set(text.as_py(), size)
-            out.append({"node": node_of(found), "shingles": found.tobytes()})
+            bands = band_keys(*min_max_signature(found)).tobytes() if len(found) else b""
+            out.append({"node": node_of(found), "shingles": found.tobytes(), "bands": bands})
         return pa.array(out, kind)
 
     # Marked so that Spark does not move it below the join, to documents that no pair needs.
     return full.asNondeterministic()
 
 
-def _bytes_of():
-    """An array of 64-bit integers as bytes, which tasks read without taking it apart."""
-
-    @arrow_udf("binary")
-    def packed(rows: pa.Array) -> pa.Array:
-        return pa.array([np.array(r, np.int64).tobytes() for r in rows.to_pylist()], pa.binary())
-
-    return packed
-
-
 class Bucket:
     """The nodes of one bucket (or of two of its blocks) while a task compares them."""
 
@@ -239,16 +230,30 @@ def _compare(percent: int):
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, bands, shingles`` of the ``wanted`` nodes (``node, doc, digest, bands``), from the documents that stand for them.
+    """``node, bands, shingles`` of the ``wanted`` nodes (``node, n, doc, digest``), from the documents that stand for them.
+
+    A text is found by the hash of its id and its digest, so that rows without
+    an id are not each other's. The band keys are made again, of these sets
+    only, so that none cross a shuffle to get here.
+    """
+    # The condition holds for all; with one, Spark may filter the texts by the wanted digests before they are shuffled.
+    wanted = wanted.where("n > 0").select(F.col("node").alias("want"), F.xxhash64("doc").alias("rep"), "digest")
+    docs = docs.select("text", F.xxhash64("doc_id").alias("at"), F.xxhash64("text").alias("own"))
+    texts = docs.join(wanted, (F.col("own") == F.col("digest")) & (F.col("at") == F.col("rep")))
+    # A repeated row brings the same text; the rows lie together by the keys of the join already. Another text may have the digest.
+    texts = texts.select("want", "digest", "rep", "text").distinct()
+    sets = texts.select("want", _full(size)(text_bytes()).alias("set")).where(F.col("set")["node"] == F.col("want"))
+    return sets.select(F.col("want").alias("node"), F.col("set")["bands"].alias("bands"), F.col("set")["shingles"].alias("shingles"))
+
+
+def _one_of_equal(spread: DataFrame) -> DataFrame:
+    """Of buckets held by the same nodes, told by ``held, x, y``, the one of the smallest band.
 
-    A text is found by its id and digest, so that rows without an id are not each other's.
+    Sets that are alike but not linked share many. Each pair of such nodes is
+    compared in the first band it shares, and that one stays.
     """
-    wanted = wanted.select(F.col("node").alias("want"), F.col("doc").alias("rep"), "digest", "bands")
-    same = docs["doc_id"].eqNullSafe(wanted["rep"]) & (F.xxhash64(docs["text"]) == wanted["digest"])
-    texts = docs.join(wanted, same).select("want", "bands", _full(size)(text_bytes()).alias("set"))
-    # Another text may have the digest, and a repeated row brings the same one.
-    sets = texts.where(F.col("set")["node"] == F.col("want"))
-    return sets.select(F.col("want").alias("node"), "bands", F.col("set")["shingles"].alias("shingles")).dropDuplicates(["node"])
+    one = F.min(F.struct("band", "bucket", "centre")).alias("one")
+    return spread.groupBy("held", "x", "y").agg(one).select("held", "one.bucket", "one.centre")
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
@@ -278,26 +283,33 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     signed = docs.select("doc_id", F.xxhash64("text").alias("digest"), _signed(size)(text_bytes()).alias("s"))
-    members = stored(signed.select("doc_id", "digest", "s.n", "s.node", "s.bands"), "members")
+    signed = stored(signed.select("doc_id", "digest", "s.n", "s.node", "s.bands"), "signed")
+    members = stored(signed.select("doc_id", "n", "node"), "members")
     # A node is represented by a row of its smallest id, if any has one.
     first_row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("of")
-    nodes = members.where("n > 0").groupBy("node").agg(first_row, F.first("bands").alias("bands"))
-    nodes = stored(nodes.select("node", F.col("of.doc_id").alias("doc"), F.col("of.digest").alias("digest"), "bands"), "nodes")
+    nodes = signed.where("n > 0").groupBy("node").agg(first_row, F.first("n").alias("n"), F.first("bands").alias("bands"))
+    nodes = stored(nodes.select("node", "n", F.col("of.doc_id").alias("doc"), F.col("of.digest").alias("digest"), "bands"), "nodes")
+    freed(signed)
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = stored(_shared(buckets), "shared")
     labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
-    packed = nodes.join(labels, "node", "left_semi").select("node", "doc", "digest", _bytes_of()("bands").alias("bands"))
-    sets = stored(_full_sets(docs, packed, size), "sets")
+    wanted = stored(nodes.select("node", "n", "doc", "digest").join(labels, "node", "left_semi"), "wanted")
+    owners = stored(nodes.select("node", "doc"), "owners")
+    freed(nodes)
+    with filtered_joins(docs.sparkSession):
+        sets = stored(_full_sets(docs, wanted, size), "sets")
 
     def joined(labels: DataFrame, first: int, end: int, stars: bool) -> DataFrame:
         """The labels after the open buckets of some bands were compared; ``stars``: those of several blocks,
         every node with the bucket's smallest alone."""
         placed = shared.where(F.col("band").between(first, end - 1)).join(labels, "node")
         spread = placed.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"), F.min("node").alias("centre")
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"), F.min("node").alias("centre"),
+            F.min("band").alias("band"), *[F.bit_xor(F.xxhash64(F.lit(seed), F.col("node"))).alias(name) for name, seed in (("x", 1), ("y", 2))],
         )
         blocks = F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")
-        spread = stored(spread.where("low < high").select("bucket", "centre", blocks).where(F.col("blocks") > int(stars)), "open")
+        spread = _one_of_equal(spread.where("low < high"))
+        spread = stored(spread.select("bucket", "centre", blocks).where(F.col("blocks") > int(stars)), "open")
         if spread.isEmpty():
             return labels
         rows = placed.join(spread, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -324,7 +336,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, size: int = 5) -> DataFr
             labels = joined(labels, first, end, stars)
         first = end
 
-    placed = nodes.select("node", "doc").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    freed(sets, shared)
+    placed = owners.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("doc").alias("component_id"))
     named = stored(placed.join(smallest, "component").select(F.col("node").alias("own"), "component_id"), "named")
     out = members.select("doc_id", "n", "node").join(named, F.col("node") == F.col("own"), "left")

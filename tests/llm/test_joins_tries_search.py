@@ -1,5 +1,6 @@
 """Operators 11 to 13 against brute force on edge rows, their bounds, and their SQL."""
 
+import os
 import random
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from parcelmart.llm import lexical, near_dedup, partenum, prefix_trie, queries
+from parcelmart.llm import common, lexical, near_dedup, partenum, prefix_trie, queries
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tests.oracle import compare
@@ -193,3 +194,53 @@ def test_scores_in_pieces(monkeypatch):
 def test_query_matches_its_sql(spark, duck_small, name):
     r = compare(queries.QUERIES[name](spark, SF_SMALL), queries.ORACLE[name], duck_small)
     assert r["schema_match"] and r["rows_match"] and r["hash_match"], r
+
+
+def test_texts_are_filtered_before_their_shuffle(spark, docs, monkeypatch):
+    """Few of the texts are wanted: Spark gets a filter for them, and repeated rows need no shuffle of their own."""
+    plans = []
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", **{k: spark.conf.get(k) for k in common.FILTERED_JOINS}}
+    monkeypatch.setitem(common.FILTERED_JOINS, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    written = common.stored(docs.select("doc_id", "text"), "texts")
+    for module, run in ((partenum, partenum.jaccard_components), (near_dedup, near_dedup.near_duplicates)):
+        def kept(df, name):
+            if name == "sets":
+                plans.append((df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted"), exchanges(df)))
+            return common.stored(df, name)
+
+        want = rows_of(run(docs), "doc_id", "component_id")
+        monkeypatch.setattr(module, "stored", kept)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            assert rows_of(run(written), "doc_id", "component_id") == want
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(plans) == 2 and all("might_contain" in plan for plan, _ in plans)
+    assert all(n == 2 for _, n in plans)
+    assert all(spark.conf.get(k) == v for k, v in settings.items() if k in common.FILTERED_JOINS)
+
+
+def test_equal_groups_leave_one(spark):
+    """Of signatures or buckets held by the same nodes one stays, and every group of nodes with it."""
+    rows = [(n, 100 * k + g) for g, nodes in enumerate(([1, 2], [1, 2, 3], [4, 5])) for k in range(5) for n in nodes] + [(1, 0)] * 2
+    signs = spark.createDataFrame(rows, "short long, signature long")
+    got = rows_of(partenum._representative(partenum._shared(signs)), "short", "signature")
+    assert got == sorted([(1, 0), (2, 0), (1, 1), (2, 1), (3, 1), (4, 2), (5, 2)], key=str)
+    spread = spark.createDataFrame([(2, 7, 8, 3, 30, "a"), (2, 7, 8, 1, 40, "a"), (2, 9, 8, 5, 50, "b")], "held int, x long, y long, band int, bucket long, centre string")
+    assert rows_of(near_dedup._one_of_equal(spread), "bucket", "centre") == sorted([(40, "a"), (50, "b")], key=str)
+
+
+def test_large_tables_go_when_nothing_reads_them(docs, monkeypatch):
+    """Band keys are freed, signatures never written."""
+    tables = {}
+    for module, run in ((partenum, partenum.jaccard_components), (near_dedup, near_dedup.near_duplicates)):
+        def kept(df, name, module=module):
+            tables[module, name] = common.stored(df, name)
+            return tables[module, name]
+
+        monkeypatch.setattr(module, "stored", kept)
+        run(docs).collect()
+    assert not any("signatures" in df.columns for df in tables.values())
+    there = lambda df: os.path.exists(df.stored_at.removeprefix("file://"))
+    assert not there(tables[near_dedup, "signed"]) and not there(tables[near_dedup, "nodes"]) and there(tables[near_dedup, "members"])
