@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from parcelmart.llm.common import stored, text_bytes
+from parcelmart.llm.common import filtered_joins, stored, text_bytes
 from parcelmart.llm.components import components
 from parcelmart.llm.near_dedup import node_of, shingle_set
 
@@ -50,8 +50,10 @@ CELLS, SPARE = 3, 1
 SCHEMES = 4
 #: Rounds of comparing with the smallest node of a signature.
 STARS = 4
-#: Parts of a star, and nodes of a block.
+#: Parts of a star at most, and nodes of a block.
 BLOCK = 512
+#: Nodes of a star from which on it is dealt to several parts: each part gets the hub's set.
+PART = 32
 #: Places of a sketch, a byte each.
 PLACES = 128
 
@@ -113,20 +115,33 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def _node(size: int):
+    """Set size and node of a text; no words: size 0, no node."""
+    kind = pa.struct([("n", pa.int64()), ("node", pa.binary())])
+
+    @arrow_udf("struct<n:bigint,node:binary>")
+    def named(texts: pa.Array) -> pa.Array:
+        found = (shingle_set(text.as_py(), size) for text in texts)
+        return pa.array([{"n": len(f), "node": node_of(f) if len(f) else None} for f in found], kind)
+
+    return named
+
+
 def _signed(size: int, percent: int):
-    """Set size, node and signatures of a text; no words: size 0, no node, no signatures."""
-    kind = pa.struct([("n", pa.int64()), ("node", pa.binary()), ("signatures", pa.list_(pa.int64()))])
+    """Node and signatures of a text; no words: no node, no signatures."""
+    kind = pa.struct([("node", pa.binary()), ("signatures", pa.list_(pa.int64()))])
 
-    @arrow_udf("struct<n:bigint,node:binary,signatures:array<bigint>>")
+    @arrow_udf("struct<node:binary,signatures:array<bigint>>")
     def sign(texts: pa.Array) -> pa.Array:
         out = []
         for text in texts:
             found = shingle_set(text.as_py(), size)
             node = node_of(found) if len(found) else None
-            out.append({"n": len(found), "node": node, "signatures": signatures(found, percent).view(np.int64)})
+            out.append({"node": node, "signatures": signatures(found, percent).view(np.int64)})
         return pa.array(out, kind)
 
-    return sign
+    # Marked so that Spark runs it once for both columns.
+    return sign.asNondeterministic()
 
 
 def sketch(elements: np.ndarray) -> np.ndarray:
@@ -226,22 +241,26 @@ def _blocks(percent: int):
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``node, n, sketch, elements`` of the ``wanted`` nodes, from one text of each.
 
-    Rows are found by the hash of the text, then by the id, so that null or
-    repeated ids bring along no other texts.
+    Rows are found by the hashes of the text and the id, so that null or
+    repeated ids bring along no other texts. Of repeated
+    rows one stays; they lie together by the keys of the join already.
     """
-    wanted = wanted.select(F.col("node").alias("want"), "n", F.col("text_hash").alias("want_hash"), F.col("at").alias("want_at"))
-    docs = docs.withColumn("text_hash", F.xxhash64(text_bytes()))
-    found = docs.join(wanted, (F.col("text_hash") == F.col("want_hash")) & F.col("doc_id").eqNullSafe(F.col("want_at")))
+    # The condition holds for all; with one, Spark may filter the texts by the wanted hashes before they are shuffled.
+    wanted = wanted.where("n > 0").select(F.col("node").alias("want"), "n", F.col("text_hash").alias("want_hash"), F.xxhash64("at").alias("want_at"))
+    docs = docs.withColumn("text_hash", F.xxhash64(text_bytes())).withColumn("at", F.xxhash64("doc_id"))
+    found = docs.join(wanted, (F.col("text_hash") == F.col("want_hash")) & (F.col("at") == F.col("want_at")))
+    found = found.select("want", "n", "want_hash", "want_at", "text").distinct()
     found = found.select("want", "n", _sets(size)(text_bytes()).alias("made")).where(F.col("made")["node"] == F.col("want"))
-    return found.select(F.col("want").alias("node"), "n", F.col("made")["sketch"].alias("sketch"), F.col("made")["elements"].alias("elements")).dropDuplicates(["node"])
+    return found.select(F.col("want").alias("node"), "n", F.col("made")["sketch"].alias("sketch"), F.col("made")["elements"].alias("elements"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct pairs (``hub, node``) that link by their full sets: ``a, b``.
 
-    A hub's set is sent once to each of at most ``BLOCK`` parts of its star.
+    A hub's set is sent once to each part of its star, one for ``PART`` nodes and at most ``BLOCK``.
     """
-    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("node"), F.lit(BLOCK)).cast("int"))
+    stars = pairs.groupBy(F.col("hub").alias("of")).agg(F.least(F.lit(BLOCK), F.ceil(F.count(F.lit(1)) / PART)).alias("parts"))
+    pairs = pairs.join(stars, F.col("hub") == F.col("of")).select("hub", "node", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
     full = sets.select("node", "elements")
     rows = pairs.join(full, "node").select("hub", "part", F.lit(1).alias("side"), "node", "elements")
     hubs = pairs.select("hub", "part").distinct().join(full, F.col("hub") == F.col("node"))
@@ -271,6 +290,19 @@ def _shared(signs: DataFrame) -> DataFrame:
     return held.where("low < high").select("signature", "short")
 
 
+def _representative(shared: DataFrame) -> DataFrame:
+    """Of signatures held by the same nodes (long sets share thousands) the rows of one, each once.
+
+    The rows lie by their signature, so that only the last step shuffles them,
+    once summed up.
+    """
+    same = Window.partitionBy("signature")
+    rows = shared.distinct().withColumn("held", F.count(F.lit(1)).over(same))
+    for seed, name in ((1, "x"), (2, "y")):
+        rows = rows.withColumn(name, F.bit_xor(F.xxhash64(F.lit(seed), F.col("short"))).over(same))
+    return rows.groupBy("held", "x", "y", "short").agg(F.min("signature").alias("signature")).select("signature", "short")
+
+
 def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``shared`` whose signature holds more than one component, with their components and that signature's totals.
 
@@ -303,19 +335,23 @@ def jaccard_components(docs: DataFrame, percent: int = 90, size: int = 3) -> Dat
     words. No rows give no rows. Other columns are not read.
     """
     docs = docs.select("doc_id", "text")
-    signed = docs.select("doc_id", F.xxhash64(text_bytes()).alias("text_hash"), _signed(size, percent)(text_bytes()).alias("s"))
-    members = stored(signed.select("doc_id", "text_hash", "s.n", "s.node", "s.signatures"), "members")
+    named = docs.select("doc_id", F.xxhash64(text_bytes()).alias("text_hash"), _node(size)(text_bytes()).alias("s"))
+    members = stored(named.select("doc_id", "text_hash", "s.n", "s.node"), "members")
     nodes = members.where("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.min(F.struct("text_hash", "doc_id")).alias("rep")
     )
     nodes = stored(nodes.withColumn("short", F.xxhash64("node")), "nodes")
     # While most signatures are found to be a node's own, nodes go by a short name; one shared by two nodes only brings both along.
-    signs = members.where("n > 0").select(F.xxhash64("node").alias("short"), F.explode("signatures").alias("signature"))
-    shared = _shared(signs).distinct()
+    # Signatures go from the texts to the shuffle and are written nowhere else: they are as large as the texts.
+    signed = docs.select(_signed(size, percent)(text_bytes()).alias("s"))
+    signs = signed.select(F.xxhash64("s.node").alias("short"), F.explode("s.signatures").alias("signature"))
+    shared = _representative(_shared(signs))
     shared = stored(shared.join(nodes.select("short", "node"), "short").select("signature", "node"), "shared")
     labels = stored(shared.select("node").distinct().withColumn("component", F.col("node")), "labels")
     wanted = nodes.join(labels, "node", "left_semi").select("node", "n", F.col("rep")["text_hash"].alias("text_hash"), F.col("rep")["doc_id"].alias("at"))
-    sets = stored(_full_sets(docs, stored(wanted, "wanted"), size), "sets")
+    wanted = stored(wanted, "wanted")
+    with filtered_joins(docs.sparkSession):
+        sets = stored(_full_sets(docs, wanted, size), "sets")
 
     sketches = sets.select("node", "n", "sketch")
     for _ in range(STARS):
