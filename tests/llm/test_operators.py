@@ -341,6 +341,25 @@ def test_chunk_table_keeps_results_when_it_is_full():
         assert table.encode([text, "x y"]) == [text.encode(), b"x y"]
 
 
+def test_chunk_table_is_asked_once_for_a_repeated_chunk(monkeypatch):
+    from parcelmart.llm import chunks
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    table = chunks.ChunkTable(lambda t: t.encode(), lambda keys: [k.encode() for k in keys])
+    table.table = Counted()
+    texts = ["a b c b\nc b c", "", "b c", "a  b", "é b é\n", "c"] * 50
+    assert table.encode(texts) == [t.encode() for t in texts]
+    assert Counted.asked <= 6  # b, c, a line break and c, an empty one, é, a line break alone
+    monkeypatch.setattr(chunks, "RUN", 1)  # every text by itself
+    assert table.encode(texts) == [t.encode() for t in texts] and table.encode([]) == []
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 60), st.integers(-(2**63), 2**63 - 1)), max_size=300), st.sampled_from([8, 64, 1024]))
 def test_packed_stream_round_trip(values, block):
