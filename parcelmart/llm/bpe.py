@@ -31,6 +31,9 @@ from parcelmart.llm.common import text_bytes
 #: Entries kept in a worker's tables before they are emptied; bounds its memory.
 MEMO_PIECES = 200_000
 MEMO_PAIRS = 500_000
+#: Chunks in each of a worker's two tables. Spark uses workers again for the steps after, with their tables: an executor
+#: may have several a core, so these are a third of what operator 9 keeps.
+MEMO_CHUNKS = 200_000
 #: Longer pieces are encoded each time instead of being kept.
 MEMO_BYTES = 64
 NEVER = 1 << 62
@@ -62,7 +65,7 @@ class BytePairCodec:
         self.borders: dict[tuple[int, bool], tuple] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.pieces = Memo(lambda piece: self.encode_piece(piece.encode("utf-8", "surrogatepass")), MEMO_PIECES)
-        self.chunks = ChunkTable(self.encode_run, lambda chunks: map(self.encode_run, chunks))
+        self.chunks = ChunkTable(self.encode_run, lambda chunks: map(self.encode_run, chunks), MEMO_CHUNKS)
 
     @cached_property
     def finder(self) -> ahocorasick.Automaton:

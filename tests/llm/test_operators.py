@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parcelmart.llm import cotrain, decontaminate, histogram_sort, licenses, line_dedup, near_dedup, pfor, queries, secrets, topk_search
-from parcelmart.llm.bpe import bpe_decode, bpe_encode, codec
+from parcelmart.llm.bpe import BytePairCodec, bpe_decode, bpe_encode, codec
 from parcelmart.llm.license_texts import TEMPLATES
 from tests.conftest import SF_SMALL
 from tests.llm import brute
@@ -360,6 +360,19 @@ def test_chunk_table_is_asked_once_for_a_repeated_chunk(monkeypatch):
     assert table.encode(texts) == [t.encode() for t in texts] and table.encode([]) == []
 
 
+def test_chunk_tables_stay_near_their_limit(monkeypatch):
+    """Also within one batch; and the byte-level tables, which stay in workers that later steps use, are the smaller ones."""
+    from parcelmart.llm import chunks
+
+    monkeypatch.setattr(chunks, "RUN", 100)
+    table = chunks.ChunkTable(lambda t: t.encode(), lambda keys: [k.encode() for k in keys], limit=50)
+    texts = [" ".join(f"w{10 * i + k}" for k in range(10)) for i in range(200)]
+    assert table.encode(texts) == [t.encode() for t in texts]
+    assert len(table.table) + len(table.older) <= 2 * (50 + 100)
+    codec = BytePairCodec({bytes([b]): b for b in range(256)}, P.PATTERN)
+    assert codec.chunks.limit <= 200_000
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 60), st.integers(-(2**63), 2**63 - 1)), max_size=300), st.sampled_from([8, 64, 1024]))
 def test_packed_stream_round_trip(values, block):
