@@ -67,6 +67,20 @@ def test_written_tables_are_compressed_well(spark, tmp_path):
         assert files and all(f.endswith(".zstd.parquet") for f in files)
 
 
+def test_folders_are_written_without_a_sort(spark, tmp_path):
+    df = spark.range(90).selectExpr("id AS v", "CAST(2011 + id % 9 AS STRING) AS year")
+    df.limit(0).write.partitionBy("year").option("path", str(tmp_path / "t")).saveAsTable("by_year")
+    try:
+        df.createOrReplaceTempView("rows_by_year")
+        plan = spark.sql("EXPLAIN INSERT INTO by_year PARTITION (year) SELECT v, year FROM rows_by_year").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+    finally:
+        spark.sql("DROP TABLE by_year")
+        spark.catalog.dropTempView("rows_by_year")
+    # Nine folders of one task, more than the files that it keeps open: all rows come back.
+    assert rows_of(write_table(df.coalesce(1), str(tmp_path / "u"), ["year"]).select("v", "year")) == rows_of(df)
+
+
 def test_facts_join_validity_steps_of_known_size(spark):
     facts = catalog._mart_outputs(spark, SF_SMALL, "booking_facts")[1]["booking_facts"]
     plan = plan_of(facts)
